@@ -84,6 +84,7 @@ def generation_step(df: DataFrame, spec: PanelSpec, columns: list[str], target_c
     w = Window.partitionBy(spec.group)
     for c in columns[:groups]:
         made |= {f"{c}_{spec.group}_mean": F.avg(c).over(w), f"{c}_{spec.group}_std": F.stddev_samp(c).over(w)}
+    made = {k: v for k, v in made.items() if k not in df.columns}
     made = dict(list(made.items())[: max(0, target_count - len(columns))])
     df = rowmath.add(df, made)
     for c in columns[: max(0, min(ranks, target_count - len(columns) - len(made)))]:

@@ -116,7 +116,7 @@ def _scan(df: DataFrame, spec: PanelSpec, alpha: float, sums: dict[str, tuple[Co
         one = one.withColumn(f"_v{k}", F.coalesce(value, F.lit(0.0)) * F.pow(F.lit(q), -F.col("_r")))
     inside = Window.partitionBy(*keys).orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
     ends = one.groupBy(*keys).agg(*(F.sum(f"_v{k}").alias(f"_e{k}") for k in sums)).withColumn("_b", F.col("_b") + 1)
-    both = one.select("*", *(F.sum(f"_v{k}").over(inside).alias(f"_s{k}") for k in sums)).withColumn("_g", F.col(g)).drop("_x")
+    both = one.select("*", *(F.sum(f"_v{k}").over(inside).alias(f"_s{k}") for k in sums)).withColumn("_g", F.col(g))
     ends = ends.withColumnRenamed(g, "_eg").withColumnRenamed("_b", "_eb")
     both = both.join(ends, (F.col("_g").eqNullSafe(F.col("_eg"))) & (F.col("_b") == F.col("_eb")), "left")
     out = [((F.col(f"_s{k}") + F.coalesce(F.col(f"_e{k}"), F.lit(0.0)) * F.pow(F.lit(q), F.lit(size))) * F.pow(F.lit(q), F.col("_r"))).alias(k) for k, (_, q) in sums.items()]
@@ -141,7 +141,7 @@ def ewm_std(df: DataFrame, spec: PanelSpec, column: str, span: float) -> DataFra
     s = _scan(df, spec, 1 - q, {"_x": (x, q), "_xx": (x * x, q), "_w": (one, q), "_ww": (one, q * q)})
     w, mean = F.col("_w"), F.try_divide(F.col("_x"), F.col("_w"))
     var = F.try_divide((F.try_divide(F.col("_xx"), w) - mean * mean) * w * w, F.when(w * w - F.col("_ww") > 1e-12, w * w - F.col("_ww")))
-    return s.select(*df.columns, F.sqrt(F.greatest(var, F.lit(0.0))).alias(f"{column}_ewm_std_{span:g}"))
+    return s.select(*df.columns, F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{column}_ewm_std_{span:g}"))
 
 
 def _ema(df: DataFrame, spec: PanelSpec, column: str, span: float, name: str) -> DataFrame:

@@ -1,4 +1,6 @@
 """All registered queries and their DuckDB SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import panel_queries, table_queries
+from .define import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "panel_queries", "table_queries"]
