@@ -43,7 +43,7 @@ def shingle_sets(column, w: int) -> tuple[np.ndarray, np.ndarray]:
             v, row, _ = K.windows_of(h, first, k)
             parts.append((v[n[row] == k], row[n[row] == k]))
     values, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
-    both = np.unique((rows.astype(np.uint64) << np.uint64(48)) | (values & MASK))
+    both = K.distinct((rows.astype(np.uint64) << np.uint64(48)) | (values & MASK))
     return both & MASK, np.searchsorted(both >> np.uint64(48), np.arange(len(n) + 1))
 
 

@@ -46,7 +46,7 @@ def features(column, bits: int) -> tuple[np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
     row = np.concatenate([row, *(row[ends - starts > n] for n in HEADS)])
     h = np.concatenate(hashes) >> np.uint64(64 - bits)
-    both = np.unique((row << np.uint64(bits)) | h)
+    both = K.distinct((row << np.uint64(bits)) | h)
     return (both & np.uint64((1 << bits) - 1)).astype(np.int64), np.searchsorted(both >> np.uint64(bits), np.arange(len(first)))
 
 
