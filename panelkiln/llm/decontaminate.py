@@ -55,12 +55,17 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, broadcast_rows
     for k in sorted({n, *sizes}, reverse=True):
         marker = spark.range(1 if k == n else 0).select(F.lit(0).cast("long").alias("h"), F.lit(None).cast("string").alias("phrase"), F.expr(f"cast(array() as array<{item}>)").alias("items"))
         side = windows.filter(F.col("k") == k).select("h", "phrase", "items").unionByName(marker)
-        side = F.broadcast(side) if sizes.get(k, 0) <= broadcast_rows else side
         hashes = F.concat(F.array(F.lit(0).cast("long")), window_hashes(F.col("t"), k)) if k == n else window_hashes(F.col("t"), k)
-        seen = tokens.withColumn("hashes", hashes).select("doc_id", "key", "t", F.posexplode("hashes").alias("at", "h"))
         at = F.col("at") - (1 if k == n else 0)
         same = (at == -1) & F.col("phrase").isNull() | (at >= 0) & (F.array_join(F.slice("t", F.greatest(at, F.lit(0)) + 1, k), " ") == F.col("phrase"))
-        part = seen.join(side, "h").filter(same).select("doc_id", "key", F.lit(k).alias("k"), F.size("t").cast("long").alias("n_words"), at.alias("at"), "items")
+        if sizes.get(k, 0) <= broadcast_rows:
+            met = tokens.withColumn("hashes", hashes).select("doc_id", "key", "t", F.posexplode("hashes").alias("at", "h")).join(F.broadcast(side), "h")
+        else:
+            # windows are shuffled without their document's words; those come back for the hits alone
+            met = tokens.withColumn("hashes", hashes).select("doc_id", "key", F.posexplode("hashes").alias("at", "h")).join(side, "h")
+            own = tokens.dropDuplicates(["doc_id", "key"]).toDF("_id", "_key", "t")
+            met = met.join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
+        part = met.filter(same).select("doc_id", "key", F.lit(k).alias("k"), F.size("t").cast("long").alias("n_words"), at.alias("at"), "items")
         found = part if found is None else found.unionByName(part)
     return found
 
