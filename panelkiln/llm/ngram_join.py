@@ -125,29 +125,37 @@ def _codes(t: pa.Table, names) -> np.ndarray:
     return code
 
 
-def _lead(t: pa.Table) -> pa.Table:
-    """Links of members to leaders, all branches at once: in each round every branch with members left draws a leader."""
-    order, cut = K.grouped(_codes(t, ("label", "i", "j")))
-    rep = t.column("rep").to_numpy()[order]
-    n = len(rep)
-    coarse = K.string_buffers(t.column("coarse"))[0].reshape(n, -1)[order] if n else np.zeros((0, 1), np.uint8)
-    branch = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
-    left, active = np.ones(n, bool), np.arange(n)
-    a, b, s = [], [], []
-    while len(active):
-        waiting = active[left[active]]
-        leader_of = np.full(len(cut) - 1, -1)
-        leader_of[branch[waiting[::-1]]] = waiting[::-1]
-        active = active[leader_of[branch[active]] >= 0]
-        lead = leader_of[branch[active]]
-        near = (coarse[active] == coarse[lead]).mean(1) if len(active) else np.zeros(0)
-        link = (near >= NEAR) & (active != lead)
-        a.append(rep[active[link]])
-        b.append(rep[lead[link]])
-        s.append(near[link])
-        left[active[(near >= VERY_NEAR) | (active == lead)]] = False
-    cat = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
-    return pa.table({"a": cat(a, np.int64), "b": cat(b, np.int64), "s": cat(s, np.float64)})
+def _lead(least: float, depth: int, trees: int):
+    """A spanning forest of the links of members to leaders, all branches at once: in each round every branch with members
+    left draws a leader. The last row (ids -1) counts the links that look at least `least` similar, as found and as
+    weighted by one over their chance to be found."""
+
+    def run(t: pa.Table) -> pa.Table:
+        order, cut = K.grouped(_codes(t, ("label", "i", "j")))
+        rep = t.column("rep").to_numpy()[order]
+        n = len(rep)
+        coarse = K.string_buffers(t.column("coarse"))[0].reshape(n, -1)[order] if n else np.zeros((0, 1), np.uint8)
+        branch = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+        left, active, root = np.ones(n, bool), np.arange(n), np.arange(n)
+        found, total = 0, 0.0
+        while len(active):
+            waiting = active[left[active]]
+            leader_of = np.full(len(cut) - 1, -1)
+            leader_of[branch[waiting[::-1]]] = waiting[::-1]
+            active = active[leader_of[branch[active]] >= 0]
+            lead = leader_of[branch[active]]
+            near = (coarse[active] == coarse[lead]).mean(1) if len(active) else np.zeros(0)
+            link = (near >= NEAR) & (active != lead)
+            if link.any():
+                root = K.forest(n, root[active[link]], root[lead[link]])[root]
+            s = near[link & (near >= least)]
+            found, total = found + len(s), total + float((1 / (1 - (1 - s**depth) ** trees)).sum())
+            left[active[(near >= VERY_NEAR) | (active == lead)]] = False
+        child = np.flatnonzero((root != np.arange(n)) & (rep != rep[root])) if n else active
+        m = len(child)
+        return pa.table({"a": np.append(rep[child], -1), "b": np.append(rep[root[child]], -1), "found": np.append(np.zeros(m, np.int64), found), "total": np.append(np.zeros(m), total)})
+
+    return run
 
 
 def _shared(values: list[np.ndarray]) -> np.ndarray:
@@ -243,14 +251,13 @@ def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12,
     while True:
         rows = sets.select("rep", "signature").mapInArrow(_labels(trees, depth, at), "label long, rep long, coarse binary")
         met = block_pairs(rows, ["label"], F.col("rep"), branch_block, buckets)
-        edges = settle(met.select("label", "rep", "coarse", "i", "j", "bucket").groupBy("bucket").applyInArrow(_lead, "a long, b long, s double").groupBy("a", "b").agg(F.max("s").alias("s")), "candidates")
-        s = F.greatest("s", F.lit(least))
-        seen = edges.filter(F.col("s") >= least).agg(F.count("*").alias("found"), F.sum(1 / (1 - F.pow(1 - F.pow(s, F.lit(at)), F.lit(trees)))).alias("all")).first()
+        edges = settle(met.select("label", "rep", "coarse", "i", "j", "bucket").groupBy("bucket").applyInArrow(_lead(least, at, trees), "a long, b long, found long, total double"), "candidates")
+        seen = edges.filter("a < 0").agg(F.coalesce(F.sum("found"), F.lit(0)).alias("found"), F.sum("total").alias("all")).first()
         estimate = seen.found / seen["all"] if seen.found else 1.0
         if at == 1 or min(estimate, chance(least, at, trees)) >= recall:
             break
         at -= 1
-    clusters = components(edges)
+    clusters = components(edges.filter("a >= 0").select("a", "b"))
     wanted = settle(sets.select("rep", "set_key", "weight", "least_id").join(clusters.select(F.col("id").alias("rep"), F.col("root").alias("cluster")), "rep"), "clusters")
     pairs = block_pairs(wanted, ["cluster"], F.col("rep"), block, buckets)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(pairs, F.col("_id").eqNullSafe(F.col("least_id"))).select("rep", "weight", "cluster", "i", "j", "side", "bucket", "set_key", "text")
