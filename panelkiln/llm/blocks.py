@@ -19,3 +19,16 @@ def block_pairs(rows: DataFrame, group: list[str], order: Column, block: int, bu
     pairs = F.expr("flatten(array(transform(sequence(_b, _n - 1), j -> struct(_b as i, j as j)), transform(filter(sequence(0, _b), x -> x < _b), i -> struct(i as i, _b as j))))")
     out = sized.withColumn("_p", F.explode(pairs)).withColumn("i", F.col("_p.i")).withColumn("j", F.col("_p.j")).withColumn("side", (F.col("_b") != F.col("i")).cast("int"))
     return out.withColumn("bucket", F.pmod(F.xxhash64(*group, "i", "j"), F.lit(buckets)).cast("int")).drop("_m", "_n", "_b", "_p")
+
+
+def may_meet(rows: DataFrame, column: str, keys: DataFrame, key: str, words: int = 1 << 20) -> DataFrame:
+    """rows whose column may equal a key, before an exact join by it: a row that equals one always stays, nulls as a value.
+
+    The keys become bits in words of 64, so what is broadcast has at most `words` rows, whatever the number of keys; with
+    many more keys than bits most rows stay and the join does the work alone.
+    """
+    word = lambda c: F.pmod(F.xxhash64(c), F.lit(words))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned(F.xxhash64(c), 32), F.lit(64)).cast("int"))
+    marks = keys.select(word(key).alias("_word"), bit(key).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = rows.join(F.broadcast(marks), word(column) == F.col("_word"))
+    return met.filter(F.col("_bits").bitwiseAND(bit(column)) != 0).drop("_word", "_bits")

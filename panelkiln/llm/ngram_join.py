@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .blocks import block_pairs
+from .blocks import block_pairs, may_meet
 from .common import components, partitions, settle
 
 MASK = np.uint64((1 << 48) - 1)
@@ -260,7 +260,8 @@ def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12,
     clusters = components(edges.filter("a >= 0").select("a", "b"))
     wanted = settle(sets.select("rep", "set_key", "weight", "least_id").join(clusters.select(F.col("id").alias("rep"), F.col("root").alias("cluster")), "rep"), "clusters")
     pairs = block_pairs(wanted, ["cluster"], F.col("rep"), block, buckets)
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(pairs, F.col("_id").eqNullSafe(F.col("least_id"))).select("rep", "weight", "cluster", "i", "j", "side", "bucket", "set_key", "text")
+    asked = may_meet(docs.select(F.col("doc_id").cast("long").alias("_id"), "text"), "_id", wanted, "least_id")
+    texts = asked.join(pairs, F.col("_id").eqNullSafe(F.col("least_id"))).select("rep", "weight", "cluster", "i", "j", "side", "bucket", "set_key", "text")
     members = texts.mapInArrow(_members(w), "rep long, weight long, cluster long, i int, j int, side int, bucket int, members binary")
     found = settle(members.groupBy("bucket").applyInArrow(_verify_once(least), "a long, b long, links long"), "links")
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from panelkiln.llm import decontaminate, kernels, line_dedup, ngram_join, packing, pseudo_likelihood, sharding, substring_dedup, token_counts, tokens, toxicity, vector_dedup
+from panelkiln.llm import blocks, decontaminate, kernels, line_dedup, ngram_join, packing, pseudo_likelihood, sharding, substring_dedup, token_counts, tokens, toxicity, vector_dedup
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 PASSAGE = " ".join(f"word{i}" for i in range(30))
@@ -324,3 +324,14 @@ def test_ngram_join(spark, docs, empty):
     assert kept.columns == df.columns
     assert counted(kept, "doc_id")[(15,)] == 1 and counted(kept, "doc_id")[(6,)] == 0 and counted(kept, "doc_id")[(2,)] == 1
     assert ngram_join.near_texts(empty).count() == 0 and ngram_join.one_of_each(empty).count() == 0
+
+
+def test_may_meet_keeps_every_row_that_meets(spark):
+    rows = spark.range(2000).selectExpr("IF(id = 7, NULL, id) AS a")
+    keys = spark.range(0, 2000, 9).selectExpr("IF(id = 9, NULL, id) AS b")
+    wanted = {r.b for r in keys.collect()}
+    for words in (1, 1 << 20):
+        out = [r.a for r in blocks.may_meet(rows, "a", keys, "b", words).collect()]
+        assert len(out) == len(set(out)) and wanted - {9} <= set(out)
+    assert len(out) < 2 * len(wanted)
+    assert blocks.may_meet(rows, "a", keys.limit(0), "b").count() == 0
