@@ -1,12 +1,16 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word from both sides.
 
-Words are hashed to `bits` bits. Counts over the whole corpus give each hashed word its share and its class: the most
-frequent ones are classes of their own, the others share some classes by hash. The network reads the classes of two
-words on each side (the outer ones coarsened), through embeddings and a tanh layer, and predicts the class in the
-middle; the word within its class follows its share. It is trained in numpy on the whole corpus: counts of (context,
-class) are sufficient for it, tasks gather them, and Spark sums them, so a larger corpus brings more and larger counts
-while the sum has a fixed number of cells. The network is then run once on every context, and documents add up its
-log-probabilities.
+Words are 64-bit hashes, counted exactly over the whole corpus; the number of classes grows with the cube root of the
+counted vocabulary (the most frequent words are classes of their own, the others share classes by hash). A word is
+predicted in two levels: the network reads the classes of two words on each side through embeddings and a tanh layer
+and predicts the class in the middle, in which the word has its share. On each side, counts of the word beside its very
+neighbour are smoothed by that prediction, and the mean of both sides is the word's probability. The border of a text
+counts as a neighbour.
+
+The network is trained by tasks on all words of the corpus: in each round every task takes steps over its part of the
+texts from the same parameters, and the results are averaged by words. A small corpus is read several times, a large
+one once. The neighbour counts stay a table, by hashes of 32 bits within parts whose number follows the input; texts ask
+it for their own keys, chunk by chunk, so no task or driver holds the table.
 
 Defined results: a null or blank text has 0 words, log-likelihood 0 and no mean. Rows with a null or repeated doc_id are
 scored like others. All words of a very long text count. Other columns play no part. An empty table gives no rows.
@@ -20,145 +24,305 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import partitions
+from .common import partitions, settle
+
+#: The border word, and salts of the kinds of keys: word, word and the next one.
+BORDER, WORD, PAIR = (np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D))
+#: Words that training reads at least, by up to PASSES passes, and the rounds of one pass.
+LEAST_WORDS, PASSES, ROUNDS = 2_000_000, 6, 4
+
+
+def _both(a: np.ndarray, b: np.ndarray, salt: np.uint64) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return K.mix((a * np.uint64(K.R_WORD) ^ K.mix(b + salt)) + salt)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers of 32 bits as four planes of bytes, which compress well where most are small."""
+    return x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
 
-BITS, CLASSES, SHARED, OUTER = 18, 48, 16, 4
-#: Classes 0 to CLASSES - 1 and a border class.
-INNER = CLASSES + 1
+def _flat_planes(blob) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob.as_py(), np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1)
 
 
-def _sum_counts(rows: DataFrame) -> np.ndarray | None:
-    """Adds up packed sparse counts (part, cells, counts) part by part; (cell, count) for at most a fixed number of cells."""
+def _rising(x: np.ndarray) -> bytes:
+    """Sorted numbers of 32 bits as planes of their differences."""
+    return _planes(np.diff(x, prepend=np.uint32(0)))
 
-    def run(t: pa.Table) -> pa.Table:
-        cells, n = K.ints(t.column("cells"), np.int32), K.ints(t.column("counts"), np.int32)
-        unique, back = np.unique(cells, return_inverse=True)
-        return pa.table({"cells": [unique.astype(np.int32).tobytes()], "counts": [np.bincount(back, weights=n, minlength=len(unique)).astype(np.int64).tobytes()]})
 
-    got = rows.groupBy("part").applyInArrow(run, "cells binary, counts binary").collect()
-    cells = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(bytes(r.cells), np.int32) for r in got)])
-    return cells, np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(bytes(r.counts), np.int64) for r in got)])
+def _unpacked(column, rising: bool) -> list[np.ndarray]:
+    out = [_flat_planes(b) for b in column]
+    return [np.cumsum(x, dtype=np.uint32) for x in out] if rising else out
 
 
-def _packed(values: np.ndarray, parts: int):
-    unique, n = np.unique(values, return_counts=True)
-    part = unique % parts
-    order, cut = K.grouped(part)
-    rows = [(int(part[order[i]]), unique[order[i:j]].astype(np.int32).tobytes(), n[order[i:j]].astype(np.int32).tobytes()) for i, j in zip(cut[:-1], cut[1:], strict=True)]
-    return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["part", "cells", "counts"])
+def _packed(keys: np.ndarray, parts: int, counted: bool = True) -> dict:
+    """Distinct keys by part (32 bits of each) and how often they occur."""
+    keys = np.sort(((keys % np.uint64(parts)) << np.uint64(32)) | (keys >> np.uint64(32)))
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    n, unique = np.diff(np.append(first, len(keys))).astype(np.int32), keys[first]
+    cut = np.searchsorted(unique >> np.uint64(32), np.arange(parts + 1))
+    small, some = unique.astype(np.uint32), np.flatnonzero(np.diff(cut))
+    out = {"part": pa.array(some.astype(np.int32)), "keys": pa.array([_rising(small[cut[p] : cut[p + 1]]) for p in some], pa.binary())}
+    return out | ({"n": pa.array([_planes(n[cut[p] : cut[p + 1]]) for p in some], pa.binary())} if counted else {})
 
 
-def _contexts(column, class_of: np.ndarray):
-    """Context and class of every word, its hash, and where each row's words begin (rows + 1)."""
-    h, first = K.words_of(column, lower=True)
-    word = (h >> np.uint64(64 - BITS)).astype(np.int64)
+def _summed(t: pa.Table) -> pa.Table:
+    """Adds up counts of one part's words."""
+    keys, total = _sums(K.ints(t.column("keys"), np.uint64), K.ints(t.column("n"), np.int32))
+    return pa.table({"part": t.column("part")[:1].cast(pa.int32()), "keys": pa.array([keys.tobytes()], pa.binary()), "n": pa.array([total.tobytes()], pa.binary())})
+
+
+def _summed_pairs(t: pa.Table) -> pa.Table:
+    """Adds up packed counts of one part."""
+    keys, total = _sums(np.concatenate(_unpacked(t.column("keys"), True)), np.concatenate(_unpacked(t.column("n"), False)))
+    return pa.table({"part": t.column("part")[:1].cast(pa.int32()), "keys": pa.array([_rising(keys)], pa.binary()), "n": pa.array([total.tobytes()], pa.binary())})
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order, cut = K.grouped(keys)
+    return keys[order[cut[:-1]]], np.add.reduceat(n[order].astype(np.int64), cut[:-1]) if len(keys) else np.zeros(0, np.int64)
+
+
+def _class_of(word: np.ndarray, heads: dict) -> np.ndarray:
+    """Classes of words: a frequent word's own, or one of the shared."""
+    own = len(heads["word"])
+    out = own + ((word >> np.uint64(7)) % np.uint64(heads["shared"])).astype(np.int64)
+    if own:
+        at = np.minimum(np.searchsorted(heads["word"], word), own - 1)
+        out = np.where(heads["word"][at] == word, at, out)
+    return out
+
+
+def _positions(column, heads: dict):
+    """Words and classes with two borders on either side of each row, the words' places among them, and each row's first word."""
+    word, first = K.words_of(column, lower=True)
     n = np.diff(first)
-    # two border classes on either side of each row
-    row = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(word)) + 4 * row + 2
-    c = np.full(len(word) + 4 * len(n), CLASSES, np.int64)
-    c[at] = class_of[word]
-    outer = lambda x: np.where(x == CLASSES, OUTER, x % OUTER)
-    context = ((outer(c[at - 2]) * INNER + c[at - 1]) * INNER + c[at + 1]) * (OUTER + 1) + outer(c[at + 2])
-    return context, c[at], word, first
-
-
-def fit(docs: DataFrame, hidden: int = 32, size: int = 16, epochs: int = 6, batch: int = 4096, rate: float = 0.01, seed: int = 5) -> dict:
-    """Word shares, classes and the log-probabilities of all classes in all contexts."""
-    spark = docs.sparkSession
-    parts = min(64, partitions(spark))
-    text = docs.select("text")
+    at = np.arange(len(word)) + 4 * np.repeat(np.arange(len(n)), n) + 2
+    words = np.full(len(word) + 4 * len(n), BORDER, np.uint64)
+    classes = np.full(len(words), len(heads["word"]) + heads["shared"], np.int64)
+    words[at], classes[at] = word, _class_of(word, heads)
+    return words, classes, at, first
+
+
+def _keys(words: np.ndarray, at: np.ndarray) -> dict:
+    """The keys that predict each word: itself, and itself beside its neighbours."""
+    single = lambda x: _both(x, np.zeros_like(x), WORD)
+    return {"word": single(words[at]), "before": _both(words[at - 1], words[at], PAIR), "after": _both(words[at], words[at + 1], PAIR), "left": single(words[at - 1]), "right": single(words[at + 1])}
+
+
+def _vocabulary(text: DataFrame, parts: int) -> dict:
+    """The frequent words, and each class's words and distinct words; the whole vocabulary is counted by word, part by part."""
 
     def words(batches):
         for t in K.chunks(batches):
             h, _ = K.words_of(t.column("text"), lower=True)
             if len(h):
-                yield _packed((h >> np.uint64(64 - BITS)).astype(np.int64), parts)
+                h = np.sort(h)
+                first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+                unique, n = h[first], np.diff(np.append(first, len(h))).astype(np.int32)
+                order, cut = K.grouped((unique % np.uint64(parts)).astype(np.int32))
+                unique, n, some = unique[order], n[order], unique[order[cut[:-1]]] % np.uint64(parts)
+                held = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())  # noqa: E731, B023
+                yield pa.record_batch({"part": pa.array(some.astype(np.int32)), "keys": held(unique), "n": held(n)})
+
+    kind = "part int, keys binary, n binary"
+    table = settle(text.mapInArrow(words, kind).groupBy("part").applyInArrow(_summed, kind), "vocabulary")
+    size = table.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // 8
+    own = max(32, int(np.ceil(size ** (1 / 3))))
+
+    def top(batches):
+        for t in batches:
+            for keys, n in zip(t.column("keys"), t.column("n"), strict=True):
+                keys, n = np.frombuffer(keys.as_py(), np.uint64), np.frombuffer(n.as_py(), np.int64)
+                best = np.lexsort((keys, -n))[:own]
+                yield pa.record_batch({"word": pa.array(keys[best].view(np.int64)), "n": pa.array(n[best])})
+
+    best = table.mapInArrow(top, "word long, n long").orderBy(F.desc("n"), "word").limit(own).collect()
+    heads = {"word": np.sort(np.array([r.word for r in best], np.int64).view(np.uint64)), "shared": -(-own // 2)}
+    classes = len(heads["word"]) + heads["shared"]
+
+    def by_class(batches):
+        sums = np.zeros((2, classes))
+        for t in batches:
+            for keys, n in zip(t.column("keys"), t.column("n"), strict=True):
+                c, n = _class_of(np.frombuffer(keys.as_py(), np.uint64), heads), np.frombuffer(n.as_py(), np.int64)
+                sums += np.stack([np.bincount(c, weights=n, minlength=classes), np.bincount(c, minlength=classes)])
+        yield pa.record_batch({"class": pa.array(np.arange(classes)), "words": pa.array(sums[0]), "kinds": pa.array(sums[1])})
+
+    got = table.mapInArrow(by_class, "class long, words double, kinds double").groupBy("class").agg(F.sum("words"), F.sum("kinds")).collect()
+    words, kinds = np.zeros(classes), np.zeros(classes)
+    for c, n, k in got:
+        words[c], kinds[c] = n, k
+    return heads | {"words": words, "kinds": kinds}
+
 
-    cells, n = _sum_counts(text.mapInArrow(words, "part int, cells binary, counts binary"))
-    count = np.ones(1 << BITS)  # every hashed word has been seen once more than it was
-    count[cells] += n
-    own = CLASSES - SHARED
-    class_of = (np.arange(1 << BITS) * 2654435761 >> 7) % SHARED + own
-    class_of[np.lexsort((np.arange(1 << BITS), -count))[:own]] = np.arange(own)
-    share = np.log(count) - np.log(np.bincount(class_of, weights=count, minlength=CLASSES))[class_of]
+def _inputs(classes: np.ndarray, at: np.ndarray, border: int) -> np.ndarray:
+    """The four inputs of each word as rows of one embedding table."""
+    return np.stack([classes[at + d] + k * (border + 1) for k, d in enumerate((-2, -1, 1, 2))], 1)
 
-    def contexts(batches):
+
+def _forward(p: dict, x: np.ndarray):
+    z = p["e"][x].reshape(len(x), -1)
+    a = np.tanh(z @ p["w"] + p["b"])
+    s = a @ p["v"] + p["c"]
+    s -= s.max(1, keepdims=True)
+    return z, a, s
+
+
+def _learn(p: dict, x: np.ndarray, middle: np.ndarray, state: dict, batch: int, rate: float, r) -> None:
+    """Adam steps over all given words, once each."""
+    mixed = r.permutation(len(x))
+    for low in range(0, len(x), batch):
+        i = mixed[low : low + batch]
+        z, a, s = _forward(p, x[i])
+        d = np.exp(s)
+        d /= d.sum(1, keepdims=True)
+        d[np.arange(len(i)), middle[i]] -= 1
+        d /= len(i)
+        da = d @ p["v"].T * (1 - a * a)
+        dz = (da @ p["w"].T).reshape(len(i) * 4, -1)
+        order, cut = K.grouped(x[i].reshape(-1))
+        de = np.zeros_like(p["e"])
+        de[x[i].reshape(-1)[order[cut[:-1]]]] = np.add.reduceat(dz[order], cut[:-1])
+        state["step"] += 1
+        for k, g in (("e", de), ("w", z.T @ da), ("b", da.sum(0)), ("v", a.T @ d), ("c", d.sum(0))):
+            m1, m2 = state[k]
+            m1 += 0.1 * (g - m1)
+            m2 += 0.001 * (g * g - m2)
+            p[k] -= np.float32(rate) * (m1 / np.float32(1 - 0.9 ** state["step"])) / (np.sqrt(m2 / np.float32(1 - 0.999 ** state["step"])) + np.float32(1e-8))
+
+
+def _flat(p: dict) -> np.ndarray:
+    return np.concatenate([p[k].reshape(-1) for k in sorted(p)]).astype(np.float32)
+
+
+def _like(p: dict, flat: np.ndarray) -> dict:
+    ends = np.cumsum([p[k].size for k in sorted(p)])
+    return {k: x.reshape(p[k].shape).astype(np.float32) for k, x in zip(sorted(p), np.split(flat, ends[:-1]), strict=True)}
+
+
+def _train(text: DataFrame, heads: dict, hidden: int, size: int, batch: int, rate: float, seed: int) -> dict:
+    """The network's parameters after all rounds; in each, tasks learn from their texts and the results are averaged."""
+    border, r = len(heads["words"]), np.random.default_rng(seed)
+    p = {"e": r.normal(0, 0.3, (4 * (border + 1), size)), "w": r.normal(0, 0.2, (4 * size, hidden)), "b": np.zeros(hidden), "v": r.normal(0, 0.2, (hidden, border)), "c": np.log(heads["words"] + 1) - np.log(heads["words"].sum() + border)}
+    p = {k: x.astype(np.float32) for k, x in p.items()}
+    total = heads["words"].sum()
+    if not total:
+        return p
+    passes = int(np.clip(np.ceil(LEAST_WORDS / total), 1, PASSES))
+    for turn in range(passes * ROUNDS):
+        shared = text.sparkSession.sparkContext.broadcast((heads, p))
+        fall = rate * 0.5 ** (3 * turn / (passes * ROUNDS))
+
+        def learn(batches, shared=shared, fall=fall, turn=turn):
+            heads, p = shared.value
+            p = {k: x.copy() for k, x in p.items()}
+            state = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items()} | {"step": 0}
+            n, r = 0, np.random.default_rng(turn)
+            for t in K.chunks(batches):
+                _, classes, at, _ = _positions(t.column("text"), heads)
+                if len(at):
+                    # a small chunk is cut into some steps too
+                    _learn(p, _inputs(classes, at, len(heads["words"])), classes[at], state, int(np.clip(len(at) // 16, 64, batch)), fall, r)
+                    n += len(at)
+            if n:
+                yield pa.record_batch({"g": pa.array([int(r.integers(16))], pa.int32()), "n": pa.array([float(n)]), "p": pa.array([_flat(p).tobytes()], pa.binary())})
+
+        def mean(t: pa.Table) -> pa.Table:
+            n, flat = t.column("n").to_numpy(), sum(x * np.frombuffer(b.as_py(), np.float32).astype(np.float64) for x, b in zip(t.column("n").to_numpy(), t.column("p"), strict=True))
+            return pa.table({"n": [n.sum()], "p": pa.array([(flat / n.sum()).astype(np.float32).tobytes()], pa.binary())})
+
+        mine = text.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn % ROUNDS)
+        got = mine.mapInArrow(learn, "g int, n double, p binary").groupBy("g").applyInArrow(mean, "n double, p binary").collect()
+        if got:
+            p = _like(p, sum(x.n * np.frombuffer(bytes(x.p), np.float32).astype(np.float64) for x in got) / sum(x.n for x in got))
+    return p
+
+
+def fit(docs: DataFrame, hidden: int = 32, size: int = 16, batch: int = 1024, rate: float = 0.01, seed: int = 5) -> dict:
+    """Classes, the network's parameters, and the table of neighbour counts."""
+    parts = partitions(docs.sparkSession)
+    text = docs.select("text")
+    heads = _vocabulary(text, parts)
+    network = _train(text, heads, hidden, size, batch, rate, seed)
+    heads_of = docs.sparkSession.sparkContext.broadcast(heads)
+
+    def count(batches):
         for t in K.chunks(batches):
-            context, middle, _, _ = _contexts(t.column("text"), class_of)
-            if len(context):
-                yield _packed(context * CLASSES + middle, parts)
-
-    cells, n = _sum_counts(text.mapInArrow(contexts, "part int, cells binary, counts binary"))
-    table = train(cells.astype(np.int64) // CLASSES, cells.astype(np.int64) % CLASSES, n.astype(np.float64), hidden, size, epochs, batch, rate, seed)
-    return {"class_of": class_of, "share": share, "table": table}
-
-
-def _split(context: np.ndarray) -> np.ndarray:
-    """The four inputs of a context as rows of one embedding table: outer left, inner left, inner right, outer right."""
-    o = OUTER + 1
-    return np.stack([context // (o * INNER * INNER), context // (o * INNER) % INNER + o, context // o % INNER + o + INNER, context % o + o + 2 * INNER], 1)
-
-
-def train(context, middle, weight, hidden, size, epochs, batch, rate, seed) -> np.ndarray:
-    """Trains the network on weighted (context, class) cells; log-probabilities [all contexts, CLASSES] as float32."""
-    r = np.random.default_rng(seed)
-    o, contexts = OUTER + 1, (OUTER + 1) ** 2 * INNER**2
-    p = {"e": r.normal(0, 0.3, (2 * o + 2 * INNER, size)), "w": r.normal(0, 0.2, (4 * size, hidden)), "b": np.zeros(hidden), "v": r.normal(0, 0.2, (hidden, CLASSES)), "c": np.zeros(CLASSES)}
-    if len(context):
-        p["c"] = np.log(np.bincount(middle, weights=weight, minlength=CLASSES) + 1) - np.log(weight.sum() + CLASSES)
-        # one row per context, its classes' counts beside it
-        order, cut = K.grouped(context)
-        unique, owner = context[order[cut[:-1]]], np.empty(len(context), np.int64)
-        owner[order] = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
-        target = np.zeros((len(unique), CLASSES), np.float32)
-        target[owner, middle] = weight
-        total = target.sum(1)
-        state = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items()}
-        step = 0
-        for epoch in range(epochs):
-            mixed = r.permutation(len(unique))
-            for at in range(0, len(mixed), batch):
-                i = mixed[at : at + batch]
-                x = _split(unique[i])
-                z = p["e"][x].reshape(len(i), -1)
-                a = np.tanh(z @ p["w"] + p["b"])
-                s = a @ p["v"] + p["c"]
-                s -= s.max(1, keepdims=True)
-                q = np.exp(s)
-                q /= q.sum(1, keepdims=True)
-                d = (q * total[i, None] - target[i]) / total[i].sum()
-                da = d @ p["v"].T * (1 - a * a)
-                dz = (da @ p["w"].T).reshape(len(i), 4, size)
-                de = np.zeros_like(p["e"])
-                np.add.at(de, x, dz)
-                step += 1
-                for k, g in (("e", de), ("w", z.T @ da), ("b", da.sum(0)), ("v", a.T @ d), ("c", d.sum(0))):
-                    m1, m2 = state[k]
-                    m1 += 0.1 * (g - m1)
-                    m2 += 0.001 * (g * g - m2)
-                    p[k] = p[k] - rate * 0.5 ** (epoch // 2) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
-    out = np.empty((contexts, CLASSES), np.float32)
-    for at in range(0, contexts, 8192):
-        i = np.arange(at, min(contexts, at + 8192))
-        s = np.tanh(p["e"][_split(i)].reshape(len(i), -1) @ p["w"] + p["b"]) @ p["v"] + p["c"]
-        s -= s.max(1, keepdims=True)
-        out[i] = s - np.log(np.exp(s).sum(1, keepdims=True))
-    return out
+            words, _, at, first = _positions(t.column("text"), heads_of.value)
+            if len(at):
+                k = _keys(words, at)
+                # each row's last word and its border are a pair too, and the border is a word of each row
+                ends = (first[1:] - 1)[np.diff(first) > 0]
+                border = np.full(len(ends), _both(np.full(1, BORDER), np.zeros(1, np.uint64), WORD)[0])
+                yield pa.record_batch(_packed(np.concatenate([k["word"], k["before"], k["after"][ends], border]), parts))
+
+    kind = "part int, keys binary, n binary"
+    counts = settle(text.mapInArrow(count, kind).groupBy("part").applyInArrow(_summed_pairs, kind), "neighbours")
+    return {"heads": heads, "network": network, "counts": counts, "parts": parts}
+
+
+def score(docs: DataFrame, model: dict, own: bool = True, strength: float = 4.0) -> DataFrame:
+    """Per row: doc_id, n_words, log_likelihood (sum over words) and mean_log_likelihood.
 
+    own: docs are of the corpus that fitted the model, so each word is left out of the neighbour counts that predict it.
+    strength: words that the network's prediction counts for beside the neighbour counts.
+    """
+    parts, kind = model["parts"], docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast((model["heads"], model["network"]))
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """Per row: doc_id, n_words, log_likelihood (sum over words) and mean_log_likelihood."""
-    shared = docs.sparkSession.sparkContext.broadcast((model["class_of"], model["share"], model["table"]))
+    def number(batches):
+        from pyspark import TaskContext
 
-    def run(batches):
-        class_of, share, table = shared.value
+        for i, t in enumerate(K.chunks(batches)):
+            yield from t.append_column("chunk", pa.array(np.full(t.num_rows, (TaskContext.get().partitionId() << 32) + i))).to_batches()
+
+    numbered = settle(docs.select("doc_id", "text").mapInArrow(number, f"doc_id {kind}, text string, chunk long"), "chunks")
+
+    def ask(batches):
         for t in K.chunks(batches):
-            context, middle, word, first = _contexts(t.column("text"), class_of)
-            total = np.append(0, np.cumsum(table[context, middle].astype(np.float64) + share[word]))
-            n = np.diff(first)
-            s = total[first[1:]] - total[first[:-1]]
-            yield from pa.table({"doc_id": t.column("doc_id"), "n_words": pa.array(n.astype(np.int64)), "log_likelihood": pa.array(np.where(n > 0, s, 0.0)), "mean_log_likelihood": pa.array(s / np.maximum(n, 1), mask=n == 0)}).to_batches()
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double")
+            of = t.column("chunk").to_numpy()
+            for c in np.unique(of):
+                words, _, at, _ = _positions(t.column("text").filter(pa.array(of == c)), shared.value[0])
+                if len(at):
+                    got = _packed(np.concatenate(list(_keys(words, at).values())), parts, False)
+                    yield pa.record_batch(got | {"chunk": pa.array(np.full(len(got["part"]), c))})
+
+    def reply(counts: pa.Table, asked: pa.Table) -> pa.Table:
+        known = np.concatenate([np.zeros(0, np.uint32), *_unpacked(counts.column("keys"), True)])
+        n, held = K.ints(counts.column("n"), np.int64), []
+        for keys in _unpacked(asked.column("keys"), True):
+            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+            # a count beyond 32 bits says the same as the largest of them
+            held.append(_planes(np.minimum(np.where(known[at] == keys, n[at], 0), 2**32 - 1) if len(known) else np.zeros(len(keys))))
+        return pa.table({"chunk": asked.column("chunk"), "part": asked.column("part"), "keys": asked.column("keys"), "n": pa.array(held, pa.binary())})
+
+    asked = numbered.mapInArrow(ask, "part int, keys binary, chunk long").groupBy("part")
+    replies = model["counts"].groupBy("part").cogroup(asked).applyInArrow(reply, "chunk long, part int, keys binary, n binary")
+
+    def run(t: pa.Table, answers: pa.Table) -> pa.Table:
+        heads, p = shared.value
+        words, classes, at, first = _positions(t.column("text"), heads)
+        total = np.zeros(len(at) + 1)
+        if len(at):
+            got = _unpacked(answers.column("keys"), True)
+            keys = np.repeat(answers.column("part").to_numpy().astype(np.uint64) << np.uint64(32), [len(x) for x in got]) | np.concatenate(got)
+            n, order = np.concatenate(_unpacked(answers.column("n"), False)), np.argsort(keys)
+            keys, n = keys[order], n[order]
+            find = lambda k: n[np.searchsorted(keys, ((k % np.uint64(parts)) << np.uint64(32)) | (k >> np.uint64(32)))].astype(np.float64)
+            k, c = {name: find(x) for name, x in _keys(words, at).items()}, classes[at]
+            q = (k["word"] + 1) / (heads["words"][c] + heads["kinds"][c] + 1)
+            for low in range(0, len(at), 2048):
+                i = at[low : low + 2048]
+                _, _, x = _forward(p, _inputs(classes, i, len(heads["words"])))
+                q[low : low + 2048] *= np.exp(x[np.arange(len(i)), classes[i]].astype(np.float64)) / np.exp(x).sum(1)
+            less = lambda x: np.maximum(x - own, 0)
+            side = lambda pair, all_of: (less(k[pair]) + strength * q) / (less(k[all_of]) + strength)
+            s = np.log((side("before", "left") + side("after", "right")) / 2)
+            np.cumsum(s, out=total[1:])
+        n = np.diff(first)
+        s = total[first[1:]] - total[first[:-1]]
+        return pa.table({"doc_id": t.column("doc_id"), "n_words": pa.array(n.astype(np.int64)), "log_likelihood": pa.array(np.where(n > 0, s, 0.0)), "mean_log_likelihood": pa.array(s / np.maximum(n, 1), mask=n == 0)})
+
+    return numbered.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, f"doc_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double")

@@ -223,6 +223,24 @@ def test_pseudo_likelihood(spark, docs, empty):
     assert pseudo_likelihood.score(empty, pseudo_likelihood.fit(docs)).count() == 0
 
 
+def test_pseudo_likelihood_predicts_words_of_a_large_vocabulary(spark):
+    rng = np.random.default_rng(4)
+    # 3,000 content words in fixed pairs between frequent words; a text with other partners has the same words and classes in order
+    pair = lambda i: f"the noun{i} of verb{i} and"
+    texts = [" ".join(pair(i) for i in rng.permutation(1500)[:200]) for _ in range(60)]
+    i = rng.permutation(1500)[:200]
+    swapped = " ".join(f"the noun{a} verb{b} of and" for a, b in zip(i, np.roll(i, 1), strict=True))
+    texts = [t.replace(" of verb", " verb").replace(" and", " of and") for t in texts]
+    straight = " ".join(f"the noun{a} verb{a} of and" for a in i)
+    df = spark.createDataFrame([*enumerate(texts), (100, straight), (101, swapped)], "doc_id long, text string")
+    model = pseudo_likelihood.fit(df)
+    got = {r.doc_id: r.mean_log_likelihood for r in pseudo_likelihood.score(df, model).collect()}
+    assert got[100] > got[101] + 1
+    assert len(model["heads"]["words"]) == 48
+    wide = pseudo_likelihood.fit(spark.createDataFrame([(1, " ".join(f"w{j}" for j in range(60000)))], "doc_id long, text string"))
+    assert wide["heads"]["kinds"].sum() == 60000 and len(wide["heads"]["words"]) == 60
+
+
 def test_sharding(spark, docs, empty):
     got = sharding.shard(docs, 4).collect()
     want = collections.Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, _ in ROWS)
