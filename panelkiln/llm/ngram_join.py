@@ -239,14 +239,16 @@ def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12,
 
     least: smallest Jaccard similarity of a link. w: words in a shingle. trees, depth: labels and their longest prefix.
     recall: target for both estimates. block: sets of a cluster that one task verifies at once. n_links counts all other
-    documents linked directly, copies included. kept: one row of each class.
+    documents linked directly, copies included. kept: one row of each class, that of the smallest doc_id (nulls last).
     """
     spark = docs.sparkSession
     buckets = partitions(spark, 4)
     source = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    signed = settle(source.mapInArrow(_sign(w, trees * depth), "doc_id long, text_key long, set_key binary, n long, signature binary"), "signatures")
+    signed = settle(source.mapInArrow(_sign(w, trees * depth), "doc_id long, text_key long, set_key binary, n long, signature binary").withColumn("row", F.monotonically_increasing_id()), "signatures")
+    # a class keeps its first row: by doc_id, nulls last, then by text and row
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "row")
     some = signed.filter("n > 0")
-    sets = settle(some.groupBy("set_key", "n").agg(F.count("*").alias("weight"), F.min("doc_id").alias("least_id"), F.first("signature").alias("signature")).withColumn("rep", F.monotonically_increasing_id()), "sets")
+    sets = settle(some.groupBy("set_key", "n").agg(F.count("*").alias("weight"), F.min("doc_id").alias("least_id"), F.min(place).alias("place"), F.first("signature").alias("signature")).withColumn("rep", F.monotonically_increasing_id()), "sets")
     at = depth
     while True:
         rows = sets.select("rep", "signature").mapInArrow(_labels(trees, depth, at), "label long, rep long, coarse binary")
@@ -266,12 +268,12 @@ def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12,
     found = settle(members.groupBy("bucket").applyInArrow(_verify_once(least), "a long, b long, links long"), "links")
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.select("a", "b")).withColumnRenamed("id", "rep")
-    named = settle(sets.drop("signature").join(links, "rep", "left").join(roots, "rep", "left").select("set_key", "least_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root")), "named")
-    least_of = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    named = named.join(least_of, "root").select("set_key", "n_links", "class_id")
-    linked = some.select("doc_id", "text_key", "n", "set_key").join(named, "set_key").select("doc_id", "class_id", "n_links", F.col("n").alias("n_shingles"), "text_key")
-    alone = signed.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("n").alias("n_shingles"), "text_key")
-    return linked.unionByName(alone).withColumn("kept", (F.col("n_shingles") == 0) | F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))).select("doc_id", "class_id", "n_links", "n_shingles", "kept", "text_key")
+    named = settle(sets.drop("signature").join(links, "rep", "left").join(roots, "rep", "left").select("set_key", "least_id", "place", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root")), "named")
+    least_of = named.groupBy("root").agg(F.min("least_id").alias("class_id"), F.min("place")["row"].alias("kept_row"))
+    named = named.join(least_of, "root").select("set_key", "n_links", "class_id", "kept_row")
+    linked = some.select("doc_id", "text_key", "n", "set_key", "row").join(named, "set_key").select("doc_id", "class_id", "n_links", F.col("n").alias("n_shingles"), (F.col("row") == F.col("kept_row")).alias("kept"), "text_key")
+    alone = signed.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("n").alias("n_shingles"), F.lit(True).alias("kept"), "text_key")
+    return linked.unionByName(alone)
 
 
 def _verify_once(least: float):
@@ -288,7 +290,7 @@ def _verify_once(least: float):
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """docs with one row of each class; all columns stay."""
-    found = near_texts(docs, **settings).filter("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("_n"), F.max("n_shingles").alias("_s"))
+    found = near_texts(docs, **settings).groupBy("doc_id", "text_key").agg(F.count("*").alias("_n"), F.max("n_shingles").alias("_s"), F.bool_or("kept").alias("_kept")).filter("_kept")
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     both = docs.join(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_n", "_s"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")))
     # only a repeated row has a twin to lose

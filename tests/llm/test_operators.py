@@ -344,6 +344,23 @@ def test_ngram_join(spark, docs, empty):
     assert ngram_join.near_texts(empty).count() == 0 and ngram_join.one_of_each(empty).count() == 0
 
 
+def test_ngram_join_keeps_one_row_of_each_class_without_ids(spark):
+    words = lambda name: [f"{name}{i}" for i in range(80)]
+    near = lambda name, k: " ".join(["x" * k, *words(name)[1:]])
+    rows = [
+        (5, " ".join(words("a"))), (None, " ".join(words("a"))), (None, near("a", 1)),  # null copies of document 5
+        *((None, near("b", k)) for k in range(1, 5)), (None, near("b", 1)),  # null copies of each other
+        (7, near("c", 1)), (7, near("c", 2)), (7, near("c", 2)), (8, near("c", 3)),  # one id, several texts
+        (None, "alone without a key"), (None, None), (None, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.class_id) for r in ngram_join.near_texts(df).filter("kept and n_shingles > 0").collect()]
+    assert collections.Counter(kept) == collections.Counter([(5, 5), (None, None), (7, 7), (None, None)])
+    got = [(r.doc_id, r.text) for r in ngram_join.one_of_each(df).collect()]
+    group = collections.Counter("none" if not t else "alone" if t.startswith("alone") else t.split()[1][0] for _, t in got)
+    assert group == {"a": 1, "b": 1, "c": 1, "alone": 1, "none": 2} and (5, " ".join(words("a"))) in got and set(got) <= set(rows)
+
+
 def test_may_meet_keeps_every_row_that_meets(spark):
     rows = spark.range(2000).selectExpr("IF(id = 7, NULL, id) AS a")
     keys = spark.range(0, 2000, 9).selectExpr("IF(id = 9, NULL, id) AS b")
