@@ -17,11 +17,11 @@ from .clean import align_to_model
 
 #: Deep and slow, balanced, shallow and fast.
 PRESETS = {
-    "deep": {"maxDepth": 8, "stepSize": 0.01, "maxIter": 100, "subsamplingRate": 0.8},
-    "balanced": {"maxDepth": 6, "stepSize": 0.05, "maxIter": 50, "subsamplingRate": 0.8},
-    "fast": {"maxDepth": 4, "stepSize": 0.1, "maxIter": 20, "subsamplingRate": 0.9},
+    "deep": {"maxDepth": 12, "stepSize": 0.01, "maxIter": 2000, "subsamplingRate": 0.8},
+    "balanced": {"maxDepth": 10, "stepSize": 0.05, "maxIter": 2000, "subsamplingRate": 0.8},
+    "fast": {"maxDepth": 8, "stepSize": 0.1, "maxIter": 2000, "subsamplingRate": 0.9},
 }
-FOREST = {"deep": {"maxDepth": 12, "numTrees": 100}, "balanced": {"maxDepth": 10, "numTrees": 50}, "fast": {"maxDepth": 6, "numTrees": 20}}
+FOREST = {"deep": {"maxDepth": 12, "numTrees": 100}, "balanced": {"maxDepth": 10, "numTrees": 50}, "fast": {"maxDepth": 8, "numTrees": 20}}
 
 
 def estimator(kind: str, preset: str = "fast", label: str = "target", validation: str | None = None, **params):

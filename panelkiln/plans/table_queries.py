@@ -341,21 +341,21 @@ X = ["l_quantity", "l_discount", "l_tax"]
 @query()
 def fit_boosted_trees(t: Tables):
     df = _training(t)
-    model = modeling.fit(df, X, "gbt", "fast", validation="valid", maxIter=5)
+    model = modeling.fit(df, X, "gbt", "fast", validation="valid")
     return ensemble.regression_metrics(model.transform(df), "target", "prediction")
 
 
 @query()
 def fit_forest(t: Tables):
     df = _training(t)
-    model = modeling.fit(df, X, "forest", "fast", scale=True, numTrees=5, maxDepth=4)
+    model = modeling.fit(df, X, "forest", "fast", scale=True)
     return modeling.importance(model, X, t.spark)
 
 
 @query()
 def fit_classifier(t: Tables):
     df = _training(t)
-    model = modeling.fit(df, X, "classifier", "fast", label="y", maxIter=3, maxDepth=3)
+    model = modeling.fit(df, X, "classifier", "fast", label="y")
     scored = model.transform(df).select("y", F.element_at(_probability(), 2).alias("s"))
     return ensemble.classification_metrics(scored, "y", "s")
 
@@ -376,7 +376,7 @@ def mean_model(t: Tables):
 def registry_and_score(t: Tables):
     df = _training(t)
     reg = modeling.ModelRegistry(t.spark, folder(t, "models"))
-    reg.register("m1", "gbt", modeling.fit(df.withColumn("target", F.col("y")), X, "forest", "fast", numTrees=3, maxDepth=3), X, {"rmse": 1.0}, created=1.0)
+    reg.register("m1", "gbt", modeling.fit(df.withColumn("target", F.col("y")), X, "forest", "fast"), X, {"rmse": 1.0}, created=1.0)
     reg.update_metrics("m1", {"r2": 0.5})
     model, features = reg.load(reg.latest("gbt").model_id)
     return modeling.score(model, df, features, "l_orderkey")
@@ -384,7 +384,7 @@ def registry_and_score(t: Tables):
 
 @query()
 def compare_models(t: Tables):
-    return modeling.compare(_training(t), {"two": (X[:2], "forest", "fast"), "three": (X, "forest", "fast")}, ["l_orderkey"], folds=2)
+    return modeling.compare(_training(t), {"two": (X[:2], "forest", "fast"), "three": (X, "forest", "fast")}, ["l_orderkey"])
 
 
 # run metrics over relations derived from orders: a run is a customer, a model an order

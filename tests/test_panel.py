@@ -137,3 +137,29 @@ def test_run_store(spark, tmp_path):
     assert store.read("runs").first().status == "done"
     assert run_metrics.metric_history(store.read("runs"), "rmse").first().value == 0.5
     assert run_metrics.models_with_importance(store.read("models"), store.read("feature_importance")).first().importance == {"x": 0.7, "y": 0.3}
+
+
+def test_model_queries_run_a_preset_unchanged(spark, monkeypatch):
+    from panelkiln.operators import modeling
+    from panelkiln.plans.registry import QUERIES
+
+    from .conftest import DATA
+
+    assert [(p["maxDepth"], p["maxIter"]) for p in modeling.PRESETS.values()] == [(12, 2000), (10, 2000), (8, 2000)]
+    assert [p["maxDepth"] for p in modeling.FOREST.values()] == [12, 10, 8]
+
+    class Asked(Exception):
+        pass
+
+    def estimator(kind, preset, label, validation, **params):
+        raise Asked(params)
+
+    monkeypatch.setattr(modeling, "estimator", estimator)
+    for name in ("fit_boosted_trees", "fit_forest", "fit_classifier", "registry_and_score", "compare_models"):
+        try:
+            QUERIES[name](spark, DATA)
+        except Asked as e:
+            (params,) = e.args
+            assert not params
+        else:
+            raise AssertionError(name)
