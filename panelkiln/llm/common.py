@@ -25,6 +25,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def free(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """names, lengthened where a column of df has one of them (Spark compares names without case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return tuple(out)
+
+
 def partitions(spark: SparkSession, times: int = 1) -> int:
     return times * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

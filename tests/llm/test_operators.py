@@ -84,7 +84,7 @@ def test_decontamination(spark, docs, empty):
         dirty |= {i} if hit else set()
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert counted(decontaminate.contamination(docs, bench), *columns) == want
-    assert counted(decontaminate.contamination(docs, bench, broadcast_rows=0), *columns) == want
+    assert counted(decontaminate.contamination(docs, bench, broadcast_bytes=0), *columns) == want
     kept = decontaminate.decontaminate(docs, bench)
     assert kept.columns == docs.columns and counted(kept, "doc_id") == collections.Counter((i,) for i, _, _ in ROWS if i not in dirty)
     cut = decontaminate.decontaminate(docs, bench, remove="spans")
