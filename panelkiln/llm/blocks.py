@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free, settle
+
 
 def block_pairs(rows: DataFrame, group: list[str], order: Column, block: int, buckets: int) -> DataFrame:
     """rows, replicated to the block pairs of their group, with i, j (the pair), side (0: block i, 1: block j) and bucket.
@@ -21,14 +23,32 @@ def block_pairs(rows: DataFrame, group: list[str], order: Column, block: int, bu
     return out.withColumn("bucket", F.pmod(F.xxhash64(*group, "i", "j"), F.lit(buckets)).cast("int")).drop("_m", "_n", "_b", "_p")
 
 
-def may_meet(rows: DataFrame, column: str, keys: DataFrame, key: str, words: int = 1 << 20) -> DataFrame:
-    """rows whose column may equal a key, before an exact join by it: a row that equals one always stays, nulls as a value.
+def _marks(keys: DataFrame, key: str, words: int) -> DataFrame:
+    """A bit table of the keys: at most `words` rows (word, bits)."""
+    return settle(keys.select(_word(F.col(key), words).alias("word"), _bit(F.col(key)).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")), "marks")
+
+
+def _word(c: Column, words: int) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(words))
+
+
+def _bit(c: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned(F.xxhash64(c), 32), F.lit(64)).cast("int"))
+
+
+def sift(rows: DataFrame, column: Column, keys: DataFrame, key: str, words: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+    """(rows whose column may equal a key, the others), before an exact join of the first: a row that equals one is always
+    there, nulls as a value.
 
     The keys become bits in words of 64, so what is broadcast has at most `words` rows, whatever the number of keys; with
-    many more keys than bits most rows stay and the join does the work alone.
+    many more keys than bits most rows are in the first part and the join does the work alone.
     """
-    word = lambda c: F.pmod(F.xxhash64(c), F.lit(words))
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned(F.xxhash64(c), 32), F.lit(64)).cast("int"))
-    marks = keys.select(word(key).alias("_word"), bit(key).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    met = rows.join(F.broadcast(marks), word(column) == F.col("_word"))
-    return met.filter(F.col("_bits").bitwiseAND(bit(column)) != 0).drop("_word", "_bits")
+    word, bits, hit = free(rows, "mark_word", "mark_bits", "mark_hit")
+    both = rows.join(F.broadcast(_marks(keys, key, words).toDF(word, bits)), _word(column, words) == F.col(word), "left")
+    both = both.withColumn(hit, F.coalesce(F.col(bits).bitwiseAND(_bit(column)) != 0, F.lit(False)))
+    return both.filter(hit).select(rows.columns), both.filter(~F.col(hit)).select(rows.columns)
+
+
+def may_meet(rows: DataFrame, column: str, keys: DataFrame, key: str, words: int = 1 << 20) -> DataFrame:
+    """The first part of sift()."""
+    return sift(rows, F.col(column), keys, key, words)[0]

@@ -138,8 +138,9 @@ def chunks(batches, text: str = "text", limit: int = CHUNK_BYTES):
             size += int(ends[at + n - 1]) - done
             at += n
             if size >= limit or at < batch.num_rows:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
+                table, held, size = pa.Table.from_batches(held), [], 0
+                yield table
+                del table
     if held:
         yield pa.Table.from_batches(held)
 

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .blocks import block_pairs, may_meet
-from .common import components, partitions, settle
+from .blocks import block_pairs, may_meet, sift
+from .common import components, free, partitions, settle
 
 MASK = np.uint64((1 << 48) - 1)
 #: Coarse signature: similarity from which a member gets a link to the leader, and from which it needs no other.
@@ -289,11 +289,14 @@ def _verify_once(least: float):
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """docs with one row of each class; all columns stay."""
-    found = near_texts(docs, **settings).groupBy("doc_id", "text_key").agg(F.count("*").alias("_n"), F.max("n_shingles").alias("_s"), F.bool_or("kept").alias("_kept")).filter("_kept")
+    """docs with one row of each class; all columns stay, whatever their names."""
+    found = near_texts(docs.select("doc_id", "text"), **settings).groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.max("n_shingles").alias("s"), F.bool_or("kept").alias("kept"))
+    own_id, own_key, kept = free(docs, "found_id", "found_key", "found_kept")
+    # rows that go, and rows that have a twin to lose; all others stay without a shuffle of their texts
+    acted = settle(found.filter("not kept or n > 1 and s > 0").select("doc_id", "text_key", "kept"), "acted")
+    some, others = sift(docs, F.col("doc_id").cast("long"), acted, "doc_id")
     key = F.xxhash64(F.coalesce("text", F.lit("")))
-    both = docs.join(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_n", "_s"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")))
-    # only a repeated row has a twin to lose
-    single = both.filter((F.col("_n") == 1) | (F.col("_s") == 0)).select(docs.columns)
-    twins = both.filter((F.col("_n") > 1) & (F.col("_s") > 0)).withColumn("_k", key).dropDuplicates(["doc_id", "_k"]).select(docs.columns)
-    return single.unionByName(twins)
+    both = some.join(acted.toDF(own_id, own_key, kept), F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (key == F.col(own_key)), "left")
+    single = both.filter(F.col(kept).isNull()).select(docs.columns)
+    twins = both.filter(kept).dropDuplicates(["doc_id", own_key]).select(docs.columns)
+    return others.unionByName(single).unionByName(twins)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .common import settle
-from .tokens import Ids, vocabulary_path
+from .tokens import CHUNK_BYTES, Ids, vocabulary_path
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: s
 
     def run(batches):
         tokens = Ids(path)
-        for t in K.chunks(batches):
+        for t in K.chunks(batches, limit=CHUNK_BYTES):
             ids, first = tokens.of(t.column("text"))
             size = np.diff(first) + 1
             ids = np.insert(ids, first[1:], np.uint32(end_id))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .common import settle, shared_folder
-from .tokens import Ids, vocabulary_path
+from .tokens import CHUNK_BYTES, Ids, vocabulary_path
 
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -33,7 +33,7 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches):
         tokens = Ids(path)
-        for t in K.chunks(batches):
+        for t in K.chunks(batches, limit=CHUNK_BYTES):
             buf, offsets = K.string_buffers(t.column("text"))
             words = np.diff(K.spans(K.SPACES[buf], offsets)[2])
             _, first = tokens.of(t.column("text"))

@@ -15,6 +15,10 @@ import numpy as np
 from . import kernels as K
 
 
+#: Text bytes that one chunk encodes: pieces and ids take some 40 times as much while they are Python objects.
+CHUNK_BYTES = 2 << 20
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -38,13 +42,13 @@ def _pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Ids:
-    """Ids of texts; keeps the ids of pieces seen, up to `most` of them.
+    """Ids of texts; keeps the ids of pieces seen, up to `most` of them (some 30 bytes each).
 
     path: a vocabulary file of `tokenizers`. Where the same vocabulary lies beside it as ranks (.tiktoken), plain pieces are
     encoded from the ranks, which gives the same ids in a third of the time; pieces that may hold a special token's string are not.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

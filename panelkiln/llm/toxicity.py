@@ -28,6 +28,8 @@ GAPS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 FOLDS, HELD = 4, 2
 #: Bytes of a longer word's head that is a feature too, for words that share a stem.
 HEADS = (4, 5)
+#: Text bytes that one chunk scores: words, heads and their rows take some 60 times as much.
+CHUNK_BYTES = 2 << 20
 
 
 def fold() -> F.Column:
@@ -118,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, most_positive: int =
     chosen = F.broadcast(toxic.withColumn("positive", F.lit(True)).unionByName(others.withColumn("positive", F.lit(False))))
 
     def run(batches):
-        for t in K.chunks(batches):
+        for t in K.chunks(batches, limit=CHUNK_BYTES):
             ids, first = features(t.column("text"), bits)
             data = ids.astype("<i4").tobytes()
             yield from pa.table({"doc_id": t.column("doc_id"), "positive": t.column("positive"), "ids": pa.array([data[4 * s : 4 * e] for s, e in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())}).to_batches()
@@ -139,7 +141,7 @@ def score(docs: DataFrame, model: dict, threshold: float = 0.3, keep: tuple = ()
 
     def run(batches):
         weights = shared.value
-        for t in K.chunks(batches):
+        for t in K.chunks(batches, limit=CHUNK_BYTES):
             ids, first = features(t.column("text"), bits)
             total = np.append(0, np.cumsum(weights[ids]))
             yield from t.append_column("score", pa.array(_sigmoid(total[first[1:]] - total[first[:-1]] + bias))).drop_columns([] if "text" in keep else ["text"]).to_batches()
