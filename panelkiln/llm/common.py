@@ -39,6 +39,13 @@ def partitions(spark: SparkSession, times: int = 1) -> int:
     return times * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def buckets(docs: DataFrame, times: int = 1, each: int = 32 << 20) -> int:
+    """Groups of packed rows: at least `times` spark.sql.shuffle.partitions, and one for `each` bytes of text, so that a
+    group's size does not grow with the data."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(partitions(docs.sparkSession, times), -(-total // each))
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(id, root) of every id on an edge (a, b): root is the smallest id that links reach.
 

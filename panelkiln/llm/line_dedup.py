@@ -4,7 +4,8 @@ Every line's key gets two independent 64-bit hashes: one places it, the other is
 shard of the first hash, a minimal perfect hash (levels of bit maps, a key lands on the first level where it is alone)
 over the distinct keys that several documents hold, and arrays that it indexes: fingerprint, count of documents,
 smallest doc_id. Documents probe the arrays: their packed hashes travel to the shard, and it answers with the keys to
-drop. Inside a chunk of documents a key is settled at once, and only its smallest document sends a probe, so a line in
+drop. Only texts that may hold one of those are shuffled to meet them (blocks.sift); all others are finished where they
+are read. Inside a chunk of documents a key is settled at once, and only its smallest document sends a probe, so a line in
 a third of all documents costs its shard one entry per chunk.
 
 Defined results: a null or empty text is one empty line. A key is dropped in a document if a smaller doc_id holds it;
@@ -23,11 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import partitions
+from .blocks import sift
+from .common import buckets, partitions, settle
 
 NULL_ID = -(1 << 63)
+#: Text bytes that one chunk splits into lines: places of its bytes take some 20 times as much.
+CHUNK_BYTES = 3 << 20
 PACKED = "bucket int, kind int, keys binary, prints binary, docs binary, counts binary"
-INDEX = "bucket int, size long, levels binary, level_bytes binary, prints binary, counts binary, docs binary"
+INDEX = "bucket int, shards int, size long, levels binary, level_bytes binary, prints binary, counts binary, docs binary"
 PRINT_VALUES = np.random.default_rng(77).integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -82,7 +86,7 @@ def _unpack(t):
 
 def _map(least: int, n: int):
     def run(batches):
-        for t in K.chunks(batches):
+        for t in K.chunks(batches, limit=CHUNK_BYTES):
             ids = _ids(t.column("doc_id"))
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
@@ -140,7 +144,11 @@ def probe_levels(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _build(t: pa.Table) -> pa.Table:
+def _build(n: int):
+    return lambda t: _build_one(t, n)
+
+
+def _build_one(t: pa.Table, shards: int) -> pa.Table:
     keys, prints, docs, counts = _unpack(t.filter(pa.array(t.column("kind").to_numpy() == 0)))
     by, cut = K.grouped(keys)
     heads = by[cut[:-1]]
@@ -155,9 +163,9 @@ def _build(t: pa.Table) -> pa.Table:
     for array, x in zip(arrays, (p, total, low), strict=True):
         array[at] = x
     bits = [np.packbits(x) for x in levels]
-    row = [t.column("bucket")[0].as_py() if t.num_rows else 0, len(k), b"".join(x.tobytes() for x in bits), np.array([len(x) for x in bits], np.int64).tobytes(), *(x.tobytes() for x in arrays)]
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
-    return pa.table([pa.array([x], kind) for x, kind in zip(row, kinds, strict=True)], ["bucket", "size", "levels", "level_bytes", "prints", "counts", "docs"])
+    row = [t.column("bucket")[0].as_py() if t.num_rows else 0, shards, len(k), b"".join(x.tobytes() for x in bits), np.array([len(x) for x in bits], np.int64).tobytes(), *(x.tobytes() for x in arrays)]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
+    return pa.table([pa.array([x], kind) for x, kind in zip(row, kinds, strict=True)], ["bucket", "shards", "size", "levels", "level_bytes", "prints", "counts", "docs"])
 
 
 def _probe(n: int):
@@ -184,15 +192,12 @@ def _probe(n: int):
 
 
 def _apply(least: int, with_text: bool):
-    def run(texts: pa.Table, drops: pa.Table) -> pa.Table:
-        keys, _, docs, _ = _unpack(drops)
+    def one(texts: pa.Table, gone_keys: np.ndarray) -> pa.Table:
         column = texts.column("text").combine_chunks()
         at, hashes, _, row, starts, ends = _keys(column, least)
         ids = _ids(texts.column("doc_id"))
-        with np.errstate(over="ignore"):
-            both = lambda k, d: K.mix(k + K.mix(d.astype(np.int64).view(np.uint64)))
-            gone = np.zeros(len(starts), bool)
-            gone[at] = np.isin(both(hashes, ids[row[at]]), both(keys, docs))
+        gone = np.zeros(len(starts), bool)
+        gone[at] = np.isin(_pair(hashes, ids[row[at]]), gone_keys)
         buf, offsets = K.string_buffers(column)
         data, border = buf.tobytes(), np.searchsorted(row, np.arange(len(ids) + 1))
         lost = np.add.reduceat(gone.astype(np.int64), border[:-1]) if len(ids) else np.zeros(0, np.int64)
@@ -209,33 +214,54 @@ def _apply(least: int, with_text: bool):
             out |= {c: texts.column(c) for c in texts.column_names if c.startswith("_own_")}
         return pa.table(out)
 
+    def run(texts: pa.Table, drops: pa.Table) -> pa.Table:
+        keys, _, docs, _ = _unpack(drops)
+        gone_keys = _pair(keys, docs)
+        parts = [one(t, gone_keys) for t in K.chunks(texts.to_batches(), limit=CHUNK_BYTES)]
+        return pa.concat_tables(parts or [one(texts.slice(0, 0), gone_keys)])
+
     return run
 
 
+def _pair(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return K.mix(keys + K.mix(docs.astype(np.int64).view(np.uint64)))
+
+
+def _docs_of(batches):
+    for b in batches:
+        yield pa.record_batch({"doc": pa.array(K.distinct(K.ints(b.column("docs"), np.int64)))})
+
+
 def _probes(docs: DataFrame, least: int, n: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_map(least, n), PACKED).repartition(partitions(docs.sparkSession), "bucket")
 
 
 def build_index(docs: DataFrame, least: int = 10, shards: int | None = None) -> DataFrame:
     """The index as a table with a row per shard, to keep and to probe with more documents later."""
-    return _probes(docs, least, shards or partitions(docs.sparkSession)).groupBy("bucket").applyInArrow(_build, INDEX)
+    n = shards or buckets(docs)
+    return _probes(docs, least, n).groupBy("bucket").applyInArrow(_build(n), INDEX)
 
 
 def drop_lines(docs: DataFrame, least: int = 10, with_text: bool = True, keep: tuple = (), shards: int | None = None, index: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped, kept_sha256 and (with_text) kept_text and the columns named in keep.
 
     least: code points in a key that counts. shards: groups of packed rows, each held by one task, so the number should
-    grow with the data (by default spark.sql.shuffle.partitions). index: one made by build_index with the same
-    settings; by default it is built from docs.
+    grow with the data (by default by the bytes of text). index: one made by build_index with the same
+    setting of least, whose shards it keeps; by default it is built from docs.
     """
-    n = shards or partitions(docs.sparkSession)
+    made = index.select("shards").first() if index is not None else None
+    n = made.shards if made else shards or buckets(docs)
     probes = _probes(docs, least, n)
-    index = index if index is not None else probes.groupBy("bucket").applyInArrow(_build, INDEX)
-    drops = probes.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(_probe(n), PACKED)
-    own = [F.col(c).alias(f"_own_{c}") for c in keep]
-    texts = docs.select(_bucket_column(F.col("doc_id").cast("long"), n).alias("bucket"), F.col("doc_id").cast("long").alias("doc_id"), "text", *own).repartition(partitions(docs.sparkSession), "bucket")
+    index = index if index is not None else probes.groupBy("bucket").applyInArrow(_build(n), INDEX)
+    drops = settle(probes.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(_probe(n), PACKED), "drops")
+    own = [F.col(f"`{c}`").alias(f"_own_{c}") for c in (keep if with_text else ())]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *own)
+    some, others = sift(texts, F.coalesce("doc_id", F.lit(NULL_ID)), drops.select("docs").mapInArrow(_docs_of, "doc long"), "doc")
+    some = some.withColumn("bucket", _bucket_column(F.col("doc_id"), n)).repartition(partitions(docs.sparkSession), "bucket")
     schema = "doc_id long, n_lines long, n_dropped long, kept_sha256 string" + ", kept_text string" * with_text
-    if with_text:
-        schema += "".join(f", `_own_{c}` {kind}" for c, kind in docs.select(*keep).dtypes) if keep else ""
-    out = texts.groupBy("bucket").cogroup(drops.groupBy("bucket")).applyInArrow(_apply(least, with_text), schema)
-    return out.withColumnsRenamed({f"_own_{c}": c for c in keep})
+    schema += "".join(f", `_own_{c}` {kind}" for c, kind in docs.select(*(f"`{c}`" for c in keep)).dtypes) if own else ""
+    cut = some.groupBy("bucket").cogroup(drops.groupBy("bucket")).applyInArrow(_apply(least, with_text), schema)
+    text = F.coalesce("text", F.lit(""))
+    whole = others.select("doc_id", (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.sha2(text, 256).alias("kept_sha256"), *([F.col("text").alias("kept_text")] if with_text else []), *(F.col(f"`_own_{c}`") for c in (keep if with_text else ())))
+    return cut.unionByName(whole).withColumnsRenamed({f"_own_{c}": c for c in keep})
