@@ -1,7 +1,9 @@
 """Substring deduplication over a de Bruijn graph of token k-mers.
 
-Nodes are (k-1)-mers of words, edges are the k-mers of the documents. An edge that occurs again is a repeat; paths
-of repeats whose source coordinates advance together are nonbranching and are compacted into one span. Steps:
+Nodes are (k-1)-mers of words, edges are the k-mers of the documents, named by hashes of 64 bits. An edge that occurs
+again is a repeat. A path of repeats does not branch while its own coordinates and those of its earliest occurrence
+advance together; there it is compacted into one span. Where a source ends or another one is earlier, a new path begins,
+so no table of nodes and their degrees is needed. Steps:
 
 1. map: each document's edges get a hash and a minimizer (the least hash among the short word grams inside the
    edge), so that neighbouring edges fall into the same bucket. Edges that repeat inside a chunk of documents are
@@ -11,14 +13,17 @@ of repeats whose source coordinates advance together are nonbranching and are co
    and runs along a path are compacted.
 3. glue: runs meet by document, and those that continue each other across bucket borders join into one span.
 4. verify: spans meet their source document, which adds a digest of the source words; then they meet their own
-   document, where a span is removed only if its words have that digest.
+   document, where a span is removed only if its words have that digest. Only texts that may hold a span or a source are
+   shuffled for this (blocks.sift); all others are finished where they are read.
 
-Rows between steps hold packed arrays for a bucket, never for a single edge.
+Rows between steps hold packed arrays for a bucket, never for a single edge. Two different edges of one minimizer with
+equal hashes of 64 bits would hide a repeat (about one in 10**7 for a million edges under one minimizer); none is ever
+removed wrongly, because of the digest. Edges that share one minimizer are one task's work.
 
 Defined results: a null text has no words. Null doc_ids sort before all others. Rows that share a doc_id share its
 coordinates: of two equal windows the one with the smaller (doc_id, start) is earlier, and at equal coordinates
 neither is, so a repeated row gets the same result as its twin. A text shorter than the window loses nothing. Other
-columns play no part. An empty table gives an empty result.
+columns play no part. An empty table gives an empty result. doc_id is an integer; the smallest long stands for null.
 """
 
 from __future__ import annotations
@@ -31,7 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import partitions
+from .blocks import sift
+from .common import buckets as buckets_of
+from .common import partitions, settle
 
 #: Doc_id of a null in packed arrays.
 NULL_ID = -(1 << 63)
@@ -114,7 +121,7 @@ def _map(k: int, n: int):
             new = np.append(True, (m[1:] != m[:-1]) | (own[1:] != own[:-1] + 1) | (row[own[1:]] != row[own[:-1]]))
             f = np.flatnonzero(new)
             size = np.diff(np.append(f, len(own)))
-            yield _pack(((m[f] >> np.uint64(20)) % np.uint64(n)).astype(np.int64), 0, docs[own[f]], start[own[f]], size, m[f], b=(edge[own] >> np.uint64(32)).astype(np.uint32))
+            yield _pack(((m[f] >> np.uint64(20)) % np.uint64(n)).astype(np.int64), 0, docs[own[f]], start[own[f]], size, m[f], b=edge[own])
 
     return run
 
@@ -128,7 +135,7 @@ def _resolve(n: int):
         kind = t.column("kind").to_numpy()
         out = [x for x in (_unpack(t.filter(pa.array(kind == 1)), np.int32),) if len(x[0])]
         out = [(d, s, c, a.view(np.int64), b.astype(np.int64)) for d, s, c, a, b in out]
-        docs, starts, counts, m, hashes = _unpack(t.filter(pa.array(kind == 0)), np.uint32)
+        docs, starts, counts, m, hashes = _unpack(t.filter(pa.array(kind == 0)), np.uint64)
         if len(docs):
             o = np.lexsort((starts, docs))
             at = K.ranges((np.cumsum(counts) - counts)[o], counts[o])
@@ -136,7 +143,7 @@ def _resolve(n: int):
             within = K.ranges(np.zeros(len(counts), np.int64), counts)
             docs, starts, m, hashes = np.repeat(docs[o], counts), np.repeat(starts[o], counts) + within, np.repeat(m[o], counts), hashes[at]
             with np.errstate(over="ignore"):
-                key = K.mix(m ^ (hashes.astype(np.uint64) * np.uint64(K.R_WORD)))
+                key = K.mix(m ^ (hashes * np.uint64(K.R_WORD)))
             by = np.argsort(key, kind="stable")
             fresh = np.append(True, (m[by[1:]] != m[by[:-1]]) | (hashes[by[1:]] != hashes[by[:-1]]))
             first = np.flatnonzero(fresh)
@@ -201,6 +208,23 @@ def _source(k: int, n: int):
     return run
 
 
+def _docs_of(batches):
+    for b in batches:
+        docs = [_undelta(b.column("docs")), K.ints(b.column("a"), np.int64)]
+        yield pa.record_batch({"doc": pa.array(K.distinct(np.concatenate(docs)))})
+
+
+def _whole(k: int, with_text: bool):
+    """_apply() for texts without spans."""
+    apply, none = _apply(k, with_text), pa.table({"docs": pa.array([], pa.binary()), "starts": pa.array([], pa.binary()), "counts": pa.array([], pa.binary()), "a": pa.array([], pa.binary())})
+
+    def run(batches):
+        for t in K.chunks(batches):
+            yield from apply(t, none).to_batches()
+
+    return run
+
+
 def _apply(k: int, with_text: bool):
     def run(texts: pa.Table, spans: pa.Table) -> pa.Table:
         docs, starts, counts = _undelta(spans.column("docs")), K.ints(spans.column("starts"), np.int32), K.ints(spans.column("counts"), np.int32)
@@ -231,18 +255,20 @@ def remove_repeats(docs: DataFrame, k: int = 20, with_text: bool = True, buckets
     """Per document: doc_id, n_words, n_removed, kept_sha256 and (with_text) kept_text, without the words of windows seen earlier.
 
     k: words in a window, at least 8. buckets: groups of packed rows; each is held by one task, so it should grow with
-    the data (by default twice spark.sql.shuffle.partitions).
+    the data (by default with the bytes of text).
     """
     if k < GRAM:
         raise ValueError(f"k is at least {GRAM}")
-    n = buckets or partitions(docs.sparkSession, 2)
+    n = buckets or buckets_of(docs, 2)
     parts = partitions(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     edges = texts.mapInArrow(_map(k, n), PACKED)
     runs = edges.groupBy("bucket").applyInArrow(_resolve(n), PACKED)
-    paths = runs.groupBy("bucket").applyInArrow(_glue(n), PACKED)
+    paths = settle(runs.groupBy("bucket").applyInArrow(_glue(n), PACKED), "paths")
 
-    keyed = texts.select(_bucket_column(F.col("doc_id"), n).alias("bucket"), "doc_id", "text").repartition(parts, "bucket")
+    some, others = sift(texts, F.coalesce("doc_id", F.lit(NULL_ID)), paths.select("docs", "a").mapInArrow(_docs_of, "doc long"), "doc")
+    keyed = some.select(_bucket_column(F.col("doc_id"), n).alias("bucket"), "doc_id", "text").repartition(parts, "bucket")
     sources = keyed.groupBy("bucket").cogroup(paths.groupBy("bucket")).applyInArrow(_source(k, n), PACKED)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return keyed.groupBy("bucket").cogroup(sources.groupBy("bucket")).applyInArrow(_apply(k, with_text), schema)
+    cut = keyed.groupBy("bucket").cogroup(sources.groupBy("bucket")).applyInArrow(_apply(k, with_text), schema)
+    return cut.unionByName(others.mapInArrow(_whole(k, with_text), schema))
