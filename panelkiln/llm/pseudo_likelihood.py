@@ -2,15 +2,17 @@
 
 Words are 64-bit hashes, counted exactly over the whole corpus; the number of classes grows with the cube root of the
 counted vocabulary (the most frequent words are classes of their own, the others share classes by hash). A word is
-predicted in two levels: the network reads the classes of two words on each side through embeddings and a tanh layer
-and predicts the class in the middle, in which the word has its share. On each side, counts of the word beside its very
+predicted step by step: the network reads the classes of two words on each side through embeddings and a tanh layer
+and predicts a group of classes and the class within it (a softmax of two levels, whose cost grows with the root of the
+classes), in which the word has its share. On each side, counts of the word beside its very
 neighbour are smoothed by that prediction, and the mean of both sides is the word's probability. The border of a text
 counts as a neighbour.
 
 The network is trained by tasks on all words of the corpus: in each round every task takes steps over its part of the
 texts from the same parameters, and the results are averaged by words. A small corpus is read several times, a large
 one once. The neighbour counts stay a table, by hashes of 32 bits within parts whose number follows the input; texts ask
-it for their own keys, chunk by chunk, so no task or driver holds the table.
+it for their own keys, chunk by chunk, so no task or driver holds the table. Chunks are dealt by a hash of doc_id and
+text, so that copies of one text spread.
 
 Defined results: a null or blank text has 0 words, log-likelihood 0 and no mean. Rows with a null or repeated doc_id are
 scored like others. All words of a very long text count. Other columns play no part. An empty table gives no rows.
@@ -24,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import partitions, settle
+from .common import buckets, partitions, settle
 
 #: The border word, and salts of the kinds of keys: word, word and the next one.
 BORDER, WORD, PAIR = (np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D))
 #: Words that training reads at least, by up to PASSES passes, and the rounds of one pass.
 LEAST_WORDS, PASSES, ROUNDS = 2_000_000, 6, 4
+#: Text bytes of a chunk: words, keys and counts take some 30 times as much.
+CHUNK_BYTES = 4 << 20
 
 
 def _both(a: np.ndarray, b: np.ndarray, salt: np.uint64) -> np.ndarray:
@@ -94,21 +98,22 @@ def _class_of(word: np.ndarray, heads: dict) -> np.ndarray:
     return out
 
 
-def _positions(column, heads: dict):
-    """Words and classes with two borders on either side of each row, the words' places among them, and each row's first word."""
+def _positions(column, heads: dict | None):
+    """Words and (with heads) classes with two borders on either side of each row, the words' places among them, and each row's first word."""
     word, first = K.words_of(column, lower=True)
     n = np.diff(first)
     at = np.arange(len(word)) + 4 * np.repeat(np.arange(len(n)), n) + 2
     words = np.full(len(word) + 4 * len(n), BORDER, np.uint64)
-    classes = np.full(len(words), len(heads["word"]) + heads["shared"], np.int64)
-    words[at], classes[at] = word, _class_of(word, heads)
+    words[at], classes = word, None
+    if heads is not None:
+        classes = np.full(len(words), len(heads["word"]) + heads["shared"], np.int64)
+        classes[at] = _class_of(word, heads)
     return words, classes, at, first
 
 
-def _keys(words: np.ndarray, at: np.ndarray) -> dict:
-    """The keys that predict each word: itself, and itself beside its neighbours."""
-    single = lambda x: _both(x, np.zeros_like(x), WORD)
-    return {"word": single(words[at]), "before": _both(words[at - 1], words[at], PAIR), "after": _both(words[at], words[at + 1], PAIR), "left": single(words[at - 1]), "right": single(words[at + 1])}
+def _keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each word (borders too), and of each word and the next one."""
+    return _both(words, np.zeros_like(words), WORD), _both(words[:-1], words[1:], PAIR)
 
 
 def _vocabulary(text: DataFrame, parts: int) -> dict:
@@ -162,35 +167,99 @@ def _inputs(classes: np.ndarray, at: np.ndarray, border: int) -> np.ndarray:
     return np.stack([classes[at + d] + k * (border + 1) for k, d in enumerate((-2, -1, 1, 2))], 1)
 
 
-def _forward(p: dict, x: np.ndarray):
-    z = p["e"][x].reshape(len(x), -1)
-    a = np.tanh(z @ p["w"] + p["b"])
-    s = a @ p["v"] + p["c"]
+def _tables(p: dict) -> np.ndarray:
+    """What each class in each of the four places adds to the hidden layer."""
+    rows, size = len(p["e"]) // 4, p["e"].shape[1]
+    return np.concatenate([p["e"][k * rows : (k + 1) * rows] @ p["w"][k * size : (k + 1) * size] for k in range(4)])
+
+
+def _hidden(p: dict, tables: np.ndarray, x: np.ndarray) -> np.ndarray:
+    a = tables[x[:, 0]]
+    for k in range(1, 4):
+        a += tables[x[:, k]]
+    a += p["b"]
+    return np.tanh(a, out=a)
+
+
+def _softmax(s: np.ndarray) -> np.ndarray:
     s -= s.max(1, keepdims=True)
-    return z, a, s
+    np.exp(s, out=s)
+    s /= s.sum(1, keepdims=True)
+    return s
+
+
+def _by_group(middle: np.ndarray, wide: int):
+    """An order of words by their class's group, and (group, begin, end) of each group in it."""
+    g = (middle // wide).astype(np.int16)
+    order = np.argsort(g, kind="stable")
+    cut = np.searchsorted(g[order], np.arange(int(g.max()) + 2)) if len(g) else np.zeros(1, int)
+    return order, [(k, i, j) for k, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if i < j]
+
+
+def _chances(p: dict, tables: np.ndarray, x: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    """The network's probability of each word's class."""
+    wide = p["v"].shape[2]
+    order, parts = _by_group(middle, wide)
+    a, m = _hidden(p, tables, x[order]), middle[order]
+    top = _softmax(a @ p["u"] + p["d"])
+    out = np.empty(len(x))
+    for g, i, j in parts:
+        rows = np.arange(j - i)
+        out[order[i:j]] = top[i:j, g].astype(np.float64) * _softmax(a[i:j] @ p["v"][g] + p["c"][g])[rows, m[i:j] - g * wide]
+    return out
 
 
 def _learn(p: dict, x: np.ndarray, middle: np.ndarray, state: dict, batch: int, rate: float, r) -> None:
     """Adam steps over all given words, once each."""
     mixed = r.permutation(len(x))
+    rows, size, wide = len(p["e"]) // 4, p["e"].shape[1], p["v"].shape[2]
     for low in range(0, len(x), batch):
         i = mixed[low : low + batch]
-        z, a, s = _forward(p, x[i])
-        d = np.exp(s)
-        d /= d.sum(1, keepdims=True)
-        d[np.arange(len(i)), middle[i]] -= 1
-        d /= len(i)
-        da = d @ p["v"].T * (1 - a * a)
-        dz = (da @ p["w"].T).reshape(len(i) * 4, -1)
-        order, cut = K.grouped(x[i].reshape(-1))
-        de = np.zeros_like(p["e"])
-        de[x[i].reshape(-1)[order[cut[:-1]]]] = np.add.reduceat(dz[order], cut[:-1])
+        order, parts = _by_group(middle[i], wide)
+        i = i[order]
+        xi, mi, n = x[i], middle[i], len(i)
+        tables = _tables(p)
+        a = _hidden(p, tables, xi)
+        # derivatives in the scores of both levels
+        top = _softmax(a @ p["u"] + p["d"])
+        top[np.arange(n), mi // wide] -= 1
+        top /= n
+        da = top @ p["u"].T
+        dv, dc = np.zeros_like(p["v"]), np.zeros_like(p["c"])
+        for g, s, e in parts:
+            inner = _softmax(a[s:e] @ p["v"][g] + p["c"][g])
+            inner[np.arange(e - s), mi[s:e] - g * wide] -= 1
+            inner /= n
+            da[s:e] += inner @ p["v"][g].T
+            dv[g], dc[g] = a[s:e].T @ inner, inner.sum(0)
+        da *= 1 - a * a
+        flat = xi.reshape(-1)
+        by = np.argsort(flat.astype(np.int16) if len(tables) < 32768 else flat, kind="stable")
+        held = flat[by]
+        cut = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+        dt = np.zeros_like(tables)
+        dt[held[cut]] = np.add.reduceat(da[by // 4], cut)
+        de = np.concatenate([dt[k * rows : (k + 1) * rows] @ p["w"][k * size : (k + 1) * size].T for k in range(4)])
+        dw = np.concatenate([p["e"][k * rows : (k + 1) * rows].T @ dt[k * rows : (k + 1) * rows] for k in range(4)])
         state["step"] += 1
-        for k, g in (("e", de), ("w", z.T @ da), ("b", da.sum(0)), ("v", a.T @ d), ("c", d.sum(0))):
+        first, second = np.float32(1 - 0.9 ** state["step"]), np.float32(1 - 0.999 ** state["step"])
+        for k, g in (("e", de), ("w", dw), ("b", da.sum(0)), ("u", a.T @ top), ("d", top.sum(0)), ("v", dv), ("c", dc)):
             m1, m2 = state[k]
-            m1 += 0.1 * (g - m1)
-            m2 += 0.001 * (g * g - m2)
-            p[k] -= np.float32(rate) * (m1 / np.float32(1 - 0.9 ** state["step"])) / (np.sqrt(m2 / np.float32(1 - 0.999 ** state["step"])) + np.float32(1e-8))
+            m1 += np.float32(0.1) * (g - m1)
+            m2 += np.float32(0.001) * (g * g - m2)
+            p[k] -= np.float32(rate) / first * m1 / (np.sqrt(m2 / second) + np.float32(1e-8))
+
+
+def _start(heads: dict, hidden: int, size: int, seed: int) -> dict:
+    """Parameters before training: random layers, and scores that give each class its share."""
+    border, r = len(heads["words"]), np.random.default_rng(seed)
+    wide = int(np.ceil(np.sqrt(border)))
+    groups = -(-border // wide)
+    share = np.full(groups * wide, -30.0)  # a place without a class
+    share[:border] = np.log(heads["words"] + 1) - np.log(heads["words"].sum() + border)
+    share = share.reshape(groups, wide)
+    p = {"e": r.normal(0, 0.3, (4 * (border + 1), size)), "w": r.normal(0, 0.2, (4 * size, hidden)), "b": np.zeros(hidden), "u": r.normal(0, 0.2, (hidden, groups)), "d": np.log(np.exp(share).sum(1)), "v": r.normal(0, 0.2, (groups, hidden, wide)), "c": share}
+    return {k: x.astype(np.float32) for k, x in p.items()}
 
 
 def _flat(p: dict) -> np.ndarray:
@@ -204,9 +273,7 @@ def _like(p: dict, flat: np.ndarray) -> dict:
 
 def _train(text: DataFrame, heads: dict, hidden: int, size: int, batch: int, rate: float, seed: int) -> dict:
     """The network's parameters after all rounds; in each, tasks learn from their texts and the results are averaged."""
-    border, r = len(heads["words"]), np.random.default_rng(seed)
-    p = {"e": r.normal(0, 0.3, (4 * (border + 1), size)), "w": r.normal(0, 0.2, (4 * size, hidden)), "b": np.zeros(hidden), "v": r.normal(0, 0.2, (hidden, border)), "c": np.log(heads["words"] + 1) - np.log(heads["words"].sum() + border)}
-    p = {k: x.astype(np.float32) for k, x in p.items()}
+    p = _start(heads, hidden, size, seed)
     total = heads["words"].sum()
     if not total:
         return p
@@ -220,7 +287,7 @@ def _train(text: DataFrame, heads: dict, hidden: int, size: int, batch: int, rat
             p = {k: x.copy() for k, x in p.items()}
             state = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items()} | {"step": 0}
             n, r = 0, np.random.default_rng(turn)
-            for t in K.chunks(batches):
+            for t in K.chunks(batches, limit=CHUNK_BYTES):
                 _, classes, at, _ = _positions(t.column("text"), heads)
                 if len(at):
                     # a small chunk is cut into some steps too
@@ -240,23 +307,21 @@ def _train(text: DataFrame, heads: dict, hidden: int, size: int, batch: int, rat
     return p
 
 
-def fit(docs: DataFrame, hidden: int = 32, size: int = 16, batch: int = 1024, rate: float = 0.01, seed: int = 5) -> dict:
+def fit(docs: DataFrame, hidden: int = 32, size: int = 16, batch: int = 4096, rate: float = 0.01, seed: int = 5) -> dict:
     """Classes, the network's parameters, and the table of neighbour counts."""
-    parts = partitions(docs.sparkSession)
+    parts = buckets(docs, each=16 << 20)
     text = docs.select("text")
     heads = _vocabulary(text, parts)
     network = _train(text, heads, hidden, size, batch, rate, seed)
-    heads_of = docs.sparkSession.sparkContext.broadcast(heads)
 
     def count(batches):
         for t in K.chunks(batches):
-            words, _, at, first = _positions(t.column("text"), heads_of.value)
+            words, _, at, first = _positions(t.column("text"), None)
             if len(at):
-                k = _keys(words, at)
+                single, pair = _keys(words)
                 # each row's last word and its border are a pair too, and the border is a word of each row
-                ends = (first[1:] - 1)[np.diff(first) > 0]
-                border = np.full(len(ends), _both(np.full(1, BORDER), np.zeros(1, np.uint64), WORD)[0])
-                yield pa.record_batch(_packed(np.concatenate([k["word"], k["before"], k["after"][ends], border]), parts))
+                ends = at[(first[1:] - 1)[np.diff(first) > 0]]
+                yield pa.record_batch(_packed(np.concatenate([single[at], pair[at - 1], pair[ends], single[ends + 1]]), parts))
 
     kind = "part int, keys binary, n binary"
     counts = settle(text.mapInArrow(count, kind).groupBy("part").applyInArrow(_summed_pairs, kind), "neighbours")
@@ -272,51 +337,46 @@ def score(docs: DataFrame, model: dict, own: bool = True, strength: float = 4.0)
     parts, kind = model["parts"], docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast((model["heads"], model["network"]))
 
-    def number(batches):
-        from pyspark import TaskContext
-
-        for i, t in enumerate(K.chunks(batches)):
-            yield from t.append_column("chunk", pa.array(np.full(t.num_rows, (TaskContext.get().partitionId() << 32) + i))).to_batches()
+    chunks = buckets(docs, each=CHUNK_BYTES)
+    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk")).repartition(partitions(docs.sparkSession), "chunk")
 
-    numbered = settle(docs.select("doc_id", "text").mapInArrow(number, f"doc_id {kind}, text string, chunk long"), "chunks")
-
-    def ask(batches):
-        for t in K.chunks(batches):
-            of = t.column("chunk").to_numpy()
-            for c in np.unique(of):
-                words, _, at, _ = _positions(t.column("text").filter(pa.array(of == c)), shared.value[0])
-                if len(at):
-                    got = _packed(np.concatenate(list(_keys(words, at).values())), parts, False)
-                    yield pa.record_batch(got | {"chunk": pa.array(np.full(len(got["part"]), c))})
+    def ask(t: pa.Table) -> pa.Table:
+        words, _, at, _ = _positions(t.column("text"), None)
+        got = _packed(np.concatenate(_keys(words)) if len(at) else np.zeros(0, np.uint64), parts, False)
+        return pa.table(got | {"chunk": pa.array(np.full(len(got["part"]), t.column("chunk")[0].as_py() if t.num_rows else 0))})
 
     def reply(counts: pa.Table, asked: pa.Table) -> pa.Table:
         known = np.concatenate([np.zeros(0, np.uint32), *_unpacked(counts.column("keys"), True)])
         n, held = K.ints(counts.column("n"), np.int64), []
-        for keys in _unpacked(asked.column("keys"), True):
+        for blob in asked.column("keys"):
+            keys = np.cumsum(_flat_planes(blob), dtype=np.uint32)
             at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
             # a count beyond 32 bits says the same as the largest of them
             held.append(_planes(np.minimum(np.where(known[at] == keys, n[at], 0), 2**32 - 1) if len(known) else np.zeros(len(keys))))
-        return pa.table({"chunk": asked.column("chunk"), "part": asked.column("part"), "keys": asked.column("keys"), "n": pa.array(held, pa.binary())})
+        return pa.table({"chunk": asked.column("chunk"), "part": asked.column("part"), "n": pa.array(held, pa.binary())})
 
-    asked = numbered.mapInArrow(ask, "part int, keys binary, chunk long").groupBy("part")
-    replies = model["counts"].groupBy("part").cogroup(asked).applyInArrow(reply, "chunk long, part int, keys binary, n binary")
+    asked = dealt.groupBy("chunk").applyInArrow(ask, "part int, keys binary, chunk long").groupBy("part")
+    replies = model["counts"].groupBy("part").cogroup(asked).applyInArrow(reply, "chunk long, part int, n binary")
 
     def run(t: pa.Table, answers: pa.Table) -> pa.Table:
         heads, p = shared.value
         words, classes, at, first = _positions(t.column("text"), heads)
         total = np.zeros(len(at) + 1)
         if len(at):
-            got = _unpacked(answers.column("keys"), True)
-            keys = np.repeat(answers.column("part").to_numpy().astype(np.uint64) << np.uint64(32), [len(x) for x in got]) | np.concatenate(got)
-            n, order = np.concatenate(_unpacked(answers.column("n"), False)), np.argsort(keys)
-            keys, n = keys[order], n[order]
-            find = lambda k: n[np.searchsorted(keys, ((k % np.uint64(parts)) << np.uint64(32)) | (k >> np.uint64(32)))].astype(np.float64)
-            k, c = {name: find(x) for name, x in _keys(words, at).items()}, classes[at]
-            q = (k["word"] + 1) / (heads["words"][c] + heads["kinds"][c] + 1)
-            for low in range(0, len(at), 2048):
-                i = at[low : low + 2048]
-                _, _, x = _forward(p, _inputs(classes, i, len(heads["words"])))
-                q[low : low + 2048] *= np.exp(x[np.arange(len(i)), classes[i]].astype(np.float64)) / np.exp(x).sum(1)
+            # the same keys as asked for, in the order of the answers' parts
+            keys = np.concatenate(_keys(words))
+            keys = ((keys % np.uint64(parts)) << np.uint64(32)) | (keys >> np.uint64(32))
+            by = np.argsort(keys)
+            number = np.cumsum(np.append(False, keys[by[1:]] != keys[by[:-1]]))
+            told = np.concatenate(_unpacked(answers.column("n").take(pa.array(np.argsort(answers.column("part").to_numpy()))), False))
+            n = np.empty(len(keys))
+            n[by] = told[number]
+            single, pair = n[: len(words)], n[len(words) :]
+            k, c = {"word": single[at], "before": pair[at - 1], "after": pair[at], "left": single[at - 1], "right": single[at + 1]}, classes[at]
+            q, tables = (k["word"] + 1) / (heads["words"][c] + heads["kinds"][c] + 1), _tables(p)
+            for low in range(0, len(at), 4096):
+                i = at[low : low + 4096]
+                q[low : low + 4096] *= _chances(p, tables, _inputs(classes, i, len(heads["words"])), classes[i])
             less = lambda x: np.maximum(x - own, 0)
             side = lambda pair, all_of: (less(k[pair]) + strength * q) / (less(k[all_of]) + strength)
             s = np.log((side("before", "left") + side("after", "right")) / 2)
@@ -325,4 +385,4 @@ def score(docs: DataFrame, model: dict, own: bool = True, strength: float = 4.0)
         s = total[first[1:]] - total[first[:-1]]
         return pa.table({"doc_id": t.column("doc_id"), "n_words": pa.array(n.astype(np.int64)), "log_likelihood": pa.array(np.where(n > 0, s, 0.0)), "mean_log_likelihood": pa.array(s / np.maximum(n, 1), mask=n == 0)})
 
-    return numbered.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, f"doc_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double")
+    return dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, f"doc_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double")
