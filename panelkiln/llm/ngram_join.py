@@ -83,7 +83,7 @@ def _signatures(values, first, m: int, seed: int = 1) -> np.ndarray:
 
 
 def _sliced(batches, rows: int = 50_000):
-    for t in K.chunks(batches):
+    for t in K.chunks(batches, limit=3 << 20):
         for at in range(0, t.num_rows, rows):
             yield t.slice(at, rows).combine_chunks()
 
