@@ -33,6 +33,20 @@ class Model(Protocol):
     def fit(self, df: DataFrame): ...
 
 
+def generate(generator: Generator, df: DataFrame, spec) -> DataFrame:
+    """A user's generator on a panel's columns; the keys must come back."""
+    out = generator.generate_all_features(df, spec.group, spec.features(df), spec.order)
+    return spec.check(out)
+
+
+def fit_predict(model: Model, train: DataFrame, df: DataFrame) -> DataFrame:
+    """df with the prediction of a user's model that was fitted on train."""
+    out = model.fit(train).transform(df)
+    if "prediction" not in out.columns:
+        raise ValueError("the model's transform gives no prediction column")
+    return out
+
+
 def map_groups(df: DataFrame, group: str, fn: Callable, schema: str) -> DataFrame:
     """fn on each group as a pandas frame; a group must fit into one task's memory."""
     return df.groupBy(group).applyInPandas(fn, schema)

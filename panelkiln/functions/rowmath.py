@@ -113,11 +113,14 @@ def row_statistics(columns: Iterable[str], name: str, quantiles: Iterable[float]
 
     Skew is null under 3 values, kurtosis under 4, both at no variance.
     """
-    xs = F.filter(F.array(*map(_num, columns)), lambda x: x.isNotNull() & ~F.isnan(x))
-    n = F.size(xs).cast("double")
-    mean = F.try_divide(F.aggregate(xs, F.lit(0.0), lambda a, x: a + x), n)
-    moment = lambda p: F.aggregate(xs, F.lit(0.0), lambda a, x: a + F.pow(x - mean, F.lit(float(p))))
-    m2, m3, m4 = moment(2), moment(3), moment(4)
+    # sums over the columns themselves, without lambda functions, stay in generated code
+    names = list(columns)
+    cols = [F.nanvl(_num(c), F.lit(None).cast("double")) for c in names]
+    total = lambda xs: sum((F.coalesce(x, F.lit(0.0)) for x in xs), F.lit(0.0))
+    xs = F.array_compact(F.array(*cols))
+    n = total(x.isNotNull().cast("double") for x in cols)
+    mean = F.try_divide(total(cols), n)
+    m2, m3, m4 = (total(F.pow(x - mean, F.lit(float(p))) for x in cols) for p in (2, 3, 4))
     std = F.when(n >= 2, F.sqrt(F.try_divide(m2, n - 1)))
     skew = F.when((n >= 3) & (m2 > 0), F.try_divide(n * F.sqrt(n - 1), n - 2) * F.try_divide(m3, F.pow(m2, F.lit(1.5))))
     kurt = F.when((n >= 4) & (m2 > 0), F.try_divide(n * (n + 1) * (n - 1) * m4, (n - 2) * (n - 3) * m2 * m2) - F.try_divide(3 * (n - 1) * (n - 1), (n - 2) * (n - 3)))
@@ -134,9 +137,11 @@ def row_statistics(columns: Iterable[str], name: str, quantiles: Iterable[float]
 
 def noise_columns(keys: Iterable[str], mean: float, std: float, count: int = 3, seed: int = 42) -> dict[str, Column]:
     """random_baseline_{i}: normal noise from the row's key (Box-Muller), the same for any partitioning."""
+    from ..operators.clean import key_number
+
     keys, m, out = list(keys), float(1 << 52), {}
     for i in range(count):
-        u, v = ((F.pmod(F.xxhash64(*keys, F.lit(seed), F.lit(2 * i + j)), F.lit(1 << 52)) + 1) / (m + 1) for j in (0, 1))
+        u, v = ((key_number(keys, seed + 2 * i + j) + 1) / (m + 1) for j in (0, 1))
         out[f"random_baseline_{i}"] = F.lit(mean) + std * F.sqrt(-2 * F.ln(u)) * F.cos(2 * pi * v)
     return out
 

@@ -100,8 +100,13 @@ def drop_prefixed(df: DataFrame, prefix: str = "random_baseline_") -> DataFrame:
 
 def hash_sample(df: DataFrame, keys: Iterable[str], fraction: float, seed: int = 42) -> DataFrame:
     """The rows whose key hash falls under the fraction: the same rows for any partitioning."""
-    m = 1 << 30
-    return df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(m)) < F.lit(int(fraction * m)))
+    return df.filter(key_number(keys, seed) < F.lit(int(fraction * (1 << 52))))
+
+
+def key_number(keys: Iterable[str], seed: int) -> Column:
+    """A number below 2**52 from the key's values and a seed: the same in any engine that has md5."""
+    text = F.concat_ws(":", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
 
 
 def clip(c: str | Column, low: float, high: float) -> Column:

@@ -92,13 +92,10 @@ def snapshot_series(history: DataFrame, start: str, end: str, days: int) -> Data
 def delta(history: DataFrame, a, b) -> DataFrame:
     """(entity, feature, old_value, new_value) that differ between two times, absent ones as null."""
     t = history.schema["valid_from"].dataType
-
-    def at(x, name):
-        x = F.lit(x).cast(t)
-        return history.filter((F.col("valid_from") <= x) & (F.col("valid_to").isNull() | (F.col("valid_to") > x))).select("entity", "feature", F.col("value").alias(name), F.lit(True).alias(f"has_{name}"))
-
-    both = at(a, "old_value").join(at(b, "new_value"), ["entity", "feature"], "full")
-    return both.filter(~(F.col("old_value").eqNullSafe(F.col("new_value")) & F.col("has_old_value").eqNullSafe(F.col("has_new_value")))).select("entity", "feature", "old_value", "new_value")
+    live = lambda x: (F.col("valid_from") <= F.lit(x).cast(t)) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(x).cast(t)))
+    # the history is read once: each side is the one record that was valid then
+    both = history.filter(live(a) | live(b)).groupBy("entity", "feature").agg(*(F.max(F.when(live(x), F.struct("value"))).alias(n) for x, n in ((a, "old"), (b, "new"))))
+    return both.filter(~F.col("old").eqNullSafe(F.col("new"))).select("entity", "feature", F.col("old.value").alias("old_value"), F.col("new.value").alias("new_value"))
 
 
 def value_history(history: DataFrame, entity, feature: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
@@ -14,9 +14,10 @@ def join_targets(features: DataFrame, targets: DataFrame, on: str = "id") -> Dat
     return features.join(targets.select(extra), on, "inner")
 
 
-def join_alternative(alternative: DataFrame, train: DataFrame, least_rows: int = 100_000) -> DataFrame:
-    """Left join on (asset, date), else on (symbol, date); raises if no target column arrives or rows are not more than least_rows."""
-    for keys in (["asset", "date"], ["symbol", "date"]):
+def join_alternative(alternative: DataFrame, train: DataFrame, keys: list[str] | None = None, least_rows: int = 0) -> DataFrame:
+    """Left join on keys, by default the first of (asset, date) and (symbol, date) that both have; raises if no target column
+    arrives, or if least_rows is given and there are no more rows than that."""
+    for keys in [keys] if keys else (["asset", "date"], ["symbol", "date"]):
         if all(k in alternative.columns and k in train.columns for k in keys):
             extra = [c for c in train.columns if c in keys or c not in alternative.columns]
             out = alternative.join(train.select(extra), keys, "left")
@@ -40,8 +41,9 @@ def latest_rows(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def group_statistics(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """{c}_{group}_mean and _std joined back to every row."""
-    w = Window.partitionBy(group)
-    return df.select("*", *(x for c in columns for x in (F.avg(c).over(w).alias(f"{c}_{group}_mean"), F.stddev_samp(c).over(w).alias(f"{c}_{group}_std"))))
+    made = df.groupBy(F.col(group).alias("_group")).agg(*(x for c in columns for x in (F.avg(c).alias(f"{c}_{group}_mean"), F.stddev_samp(c).alias(f"{c}_{group}_std"))))
+    # aggregates combine map-side, a window would sort whole groups
+    return df.join(made, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def symbol_overlap(a: DataFrame, b: DataFrame, column: str = "symbol") -> DataFrame:

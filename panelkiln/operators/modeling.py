@@ -34,7 +34,8 @@ def estimator(kind: str, preset: str = "fast", label: str = "target", validation
 
 
 def fit(df: DataFrame, features: list[str], kind: str = "gbt", preset: str = "fast", label: str = "target", scale: bool = False, validation: str | None = None, **params) -> PipelineModel:
-    """A pipeline that assembles (and standardises) the features and fits; rows without a label are left out."""
+    """A pipeline that assembles (and standardises) the features and fits; missing features are 0, rows without a label are left out."""
+    df = align_to_model(df, [c for c in df.columns if c not in features], features)
     made = "_raw" if scale else "_features"
     stages = [VectorAssembler(inputCols=features, outputCol=made, handleInvalid="keep")]
     stages += [StandardScaler(inputCol="_raw", outputCol="_features", withMean=True)] if scale else []
@@ -59,13 +60,13 @@ def importance(model: PipelineModel, features: list[str], spark: SparkSession) -
     return spark.createDataFrame(list(zip(features, map(float, model.stages[-1].featureImportances.toArray()), strict=True)), "feature string, importance double")
 
 
-def score(model, df: DataFrame, features: list[str], key: str = "symbol", low: float | None = 0.0, high: float | None = 1.0) -> DataFrame:
+def score(model, df: DataFrame, features: list[str], key: str = "symbol", low: float | None = 0.05, high: float | None = 0.95) -> DataFrame:
     """(key, prediction): features by name, missing ones 0, predictions cut to [low, high]."""
     out = model.transform(align_to_model(df, [key], features)).select(key, F.col("prediction").cast("double").alias("prediction"))
     return out if low is None else out.withColumn("prediction", F.least(F.greatest("prediction", F.lit(low)), F.lit(high)))
 
 
-REGISTRY = "model_id string, model_type string, path string, created double, features string, metrics string, version long"
+REGISTRY = "model_id string, model_type string, path string, created double, features string, metrics string, feature_set string, version long"
 
 
 class ModelRegistry:
@@ -82,14 +83,21 @@ class ModelRegistry:
         rows = self.spark.read.schema(REGISTRY).parquet(f"{self.path}/registry")
         return rows.groupBy("model_id").agg(F.max_by(F.struct(*(c for c in rows.columns if c != "model_id")), "version").alias("r")).select("model_id", "r.*")
 
-    def register(self, model_id: str, model_type: str, model: PipelineModel, features: list[str], metrics: dict, created: float | None = None) -> None:
+    def register(self, model_id: str, model_type: str, model: PipelineModel, features: list[str], metrics: dict, created: float | None = None, feature_set: str | None = None) -> None:
         at = f"{self.path}/models/{model_id}"
         model.write().overwrite().save(at)
-        self._append((model_id, model_type, at, float(created if created is not None else time.time()), json.dumps(features), json.dumps(metrics), 0))
+        self._append((model_id, model_type, at, float(created if created is not None else time.time()), json.dumps(features), json.dumps(metrics), feature_set, 0))
 
     def update_metrics(self, model_id: str, metrics: dict) -> None:
         r = self.all().filter(F.col("model_id") == model_id).first()
-        self._append((r.model_id, r.model_type, r.path, r.created, r.features, json.dumps(json.loads(r.metrics) | metrics), r.version + 1))
+        self._append((r.model_id, r.model_type, r.path, r.created, r.features, json.dumps(json.loads(r.metrics) | metrics), r.feature_set, r.version + 1))
+
+    def list(self, model_type: str | None = None, feature_set: str | None = None) -> DataFrame:
+        """Registered models, newest first, with filters (None: no filter)."""
+        rows = self.all()
+        for c, v in (("model_type", model_type), ("feature_set", feature_set)):
+            rows = rows if v is None else rows.filter(F.col(c) == v)
+        return rows.orderBy(F.col("created").desc(), "model_id")
 
     def latest(self, model_type: str | None = None):
         rows = self.all() if model_type is None else self.all().filter(F.col("model_type") == model_type)

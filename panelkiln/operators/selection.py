@@ -93,11 +93,18 @@ def generation_step(df: DataFrame, spec: PanelSpec, columns: list[str], target_c
     return df, [*columns, *made]
 
 
-def evolve(df: DataFrame, spec: PanelSpec, columns: list[str], iterations: int, target_count: int, path: str, drop: float = 0.3, least: int = 5, hook: Callable[[DataFrame, list[str]], list[str]] | None = None) -> tuple[DataFrame, list[str], list[dict]]:
-    """Generates, reduces (hook, or bounded_reduction) and writes a Parquet checkpoint per iteration; returns also the history."""
+def evolve(df: DataFrame, spec: PanelSpec, columns: list[str], iterations: int, target_count: int, path: str, drop: float = 0.3, least: int = 5, hook: Callable[[DataFrame, list[str]], list[str]] | None = None, families: dict[str, Callable[[DataFrame, list[str]], list[str]]] | None = None) -> tuple[DataFrame, list[str], list[dict]]:
+    """Generates, reduces (hook, or bounded_reduction) and writes a Parquet checkpoint per iteration; returns also the history.
+
+    families: pattern of names -> a reduction of its own for the columns made so far whose name holds it, before the hook.
+    """
     history, keys = [], [c for c in df.columns if c not in columns]
     for i in range(iterations):
         wide, names = generation_step(df, spec, columns, target_count)
+        for pattern, reduce in (families or {}).items():
+            family = [c for c in names if pattern in c]
+            kept = set(reduce(wide, family)) if family else set()
+            names = [c for c in names if c not in family or c in kept]
         columns = hook(wide, names) if hook else bounded_reduction(wide, names, spec.target, drop, least)
         at = f"{path.rstrip('/')}/iteration={i}"
         wide.select(*keys, *columns).write.mode("overwrite").option("compression", "zstd").parquet(at)

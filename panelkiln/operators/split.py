@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
+from .clean import key_number
 
 
 def sorted_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -28,23 +29,44 @@ def top_k(df: DataFrame, column: str, k: int, within: str | None = None, tiebrea
 def time_split(df: DataFrame, spec: PanelSpec, test_share: float = 0.2) -> DataFrame:
     """split 'train' for the first int(n * (1 - share)) rows by (order, tiebreak), else 'test'.
 
-    Rows are counted per date; only the rows of the date in which the cut falls are ranked.
+    Rows are counted per date, and dates in ranges, so no window holds all dates; in the date of the cut, rows are counted
+    per group, and only the rows of one group are ranked.
     """
     counts = df.groupBy(spec.order).agg(F.count("*").alias("n"))
     n = counts.agg(F.sum("n")).first()[0] or 0
     cut = int(n * (1 - test_share))
-    run = counts.withColumn("before", F.sum("n").over(Window.orderBy(spec.order)) - F.col("n"))  # one row a date
-    at = run.filter((F.col("before") <= cut) & (F.col("before") + F.col("n") > cut)).select(spec.order, "before").first()
+    at = _where(counts, spec.order, cut)
     if at is None:
         return df.withColumn("split", F.lit("train"))
-    day, left = F.lit(at[0]), cut - at[1]
-    inner = df.filter(F.col(spec.order) == day).withColumn("_r", F.row_number().over(Window.orderBy(spec.group, *spec.tiebreak)))
-    split = inner.withColumn("split", F.when(F.col("_r") <= left, "train").otherwise("test")).drop("_r")
-    rest = df.filter(F.col(spec.order) != day).withColumn("split", F.when(F.col(spec.order) < day, "train").otherwise("test"))
+    day, left = at
+    inner = df.filter(F.col(spec.order) == F.lit(day))
+    group, more = _where(inner.groupBy(spec.group).agg(F.count("*").alias("n")), spec.group, left)
+    order, own = F.col(spec.order), F.col(spec.group)
+    early = (order < F.lit(day)) | (order == F.lit(day)) & (own < F.lit(group))
+    here = (order == F.lit(day)) & own.eqNullSafe(F.lit(group))
+    ranked = df.filter(here).select("*", F.row_number().over(Window.partitionBy(own).orderBy(*(spec.tiebreak or (spec.order,)))).alias("rank_in_cut"))
+    split = ranked.withColumn("split", F.when(F.col("rank_in_cut") <= more, "train").otherwise("test")).drop("rank_in_cut")
+    rest = df.filter(~F.coalesce(here, F.lit(False))).withColumn("split", F.when(early, "train").otherwise("test"))
     return rest.unionByName(split)
 
 
+def _where(counts: DataFrame, column: str, cut: int, ranges: int = 64):
+    """(value, cut - rows before it) for the value of column, in order, whose n rows hold row number cut; None beyond the end.
+
+    The values are counted in ranges of a sort; the driver sees the ranges' sums, and only one range is summed up in order.
+    """
+    parts = counts.repartitionByRange(ranges, column).withColumn("part", F.spark_partition_id())
+    sums = sorted(parts.groupBy("part").agg(F.sum("n").alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).collect(), key=lambda r: r.part)
+    for r in sums:
+        if cut < r.n:
+            inside = counts.filter(F.col(column).isNull() if r.low is None else F.col(column).between(r.low, r.high) | (F.col(column).isNull() if r.part == sums[0].part else F.lit(False)))
+            run = inside.withColumn("before", F.sum("n").over(Window.orderBy(column)) - F.col("n"))
+            at = run.filter((F.col("before") <= cut) & (F.col("before") + F.col("n") > cut)).first()
+            return at[column], cut - at["before"]
+        cut -= r.n
+    return None
+
+
 def hash_split(df: DataFrame, keys: list[str], test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """split by a hash of the key: the same rows for any partitioning."""
-    m = 1 << 30
-    return df.withColumn("split", F.when(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(m)) < F.lit(int(test_share * m)), "test").otherwise("train"))
+    return df.withColumn("split", F.when(key_number(keys, seed) < F.lit(int(test_share * (1 << 52))), "test").otherwise("train"))

@@ -81,8 +81,8 @@ def bollinger(df: DataFrame, spec: PanelSpec, column: str, n: int = 20, k: float
     return df.select("*", (mean + k * std).alias(f"{column}_bb_upper"), (mean - k * std).alias(f"{column}_bb_lower"), F.try_divide(2 * k * std, mean).alias(f"{column}_bb_width"))
 
 
-def sma(df: DataFrame, spec: PanelSpec, words: Iterable[str] = ("price", "close", "volume"), sizes: Iterable[int] = (5, 10, 20), most: int = 20) -> DataFrame:
-    """{c}_sma_{n} of the first columns whose name holds one of the words."""
+def sma(df: DataFrame, spec: PanelSpec, words: Iterable[str] = ("price", "close", "volume"), sizes: Iterable[int] = (5, 10, 20), most: int | None = None) -> DataFrame:
+    """{c}_sma_{n} of the columns whose name holds one of the words (only the first `most` where that is given)."""
     names = [c for c in spec.features(df) if any(x in c.lower() for x in words)][:most]
     return df.select("*", *(rolled(F.col(c), spec, n, "mean", n).alias(f"{c}_sma_{n}") for c in names for n in sizes))
 
@@ -94,6 +94,12 @@ def on_balance_volume(df: DataFrame, spec: PanelSpec, price: str, volume: str) -
     return one.withColumn("obv", F.sum("obv_step").over(spec.window().rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def volume_features(df: DataFrame, spec: PanelSpec, volume: str, n: int = 10) -> DataFrame:
+    """log_volume, its change from the row before, and the volume over its mean of n rows."""
+    v, mean = F.log1p(volume), rolled(F.col(volume), spec, n, "mean", n)
+    return df.select("*", v.alias("log_volume"), (v - F.lag(v).over(spec.window())).alias("log_volume_change"), F.try_divide(F.col(volume), mean).alias(f"volume_to_mean_{n}"))
+
+
 def bar_steps(df: DataFrame, open_: str, high: str, low: str, close: str, volume: str) -> DataFrame:
     """Row-wise bar features: price_change, price_range and volume_change."""
     change = F.col(close) - F.col(open_)
@@ -160,7 +166,11 @@ def ema(df: DataFrame, spec: PanelSpec, column: str, span: float) -> DataFrame:
 
 def macd(df: DataFrame, spec: PanelSpec, column: str, fast: float = 12, slow: float = 26, signal: float = 9) -> DataFrame:
     """macd = ema(fast) - ema(slow), its ema as macd_signal, and macd_hist."""
-    both = _ema(_ema(df, spec, column, fast, "_fast"), spec, column, slow, "_slow").withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    first, x = F.row_number().over(spec.window()) == 1, F.col(column).cast("double")
+    # both means in one scan
+    names = {"_fast": 2 / (fast + 1), "_slow": 2 / (slow + 1)}
+    one = df.select("*", *(F.when(first, x).otherwise(a * x).alias(f"_in{k}") for k, a in names.items()))
+    both = _scan(one, spec, max(names.values()), {k: (F.col(f"_in{k}"), 1 - a) for k, a in names.items()}).select(*df.columns, (F.col("_fast") - F.col("_slow")).alias("macd"))
     return _ema(both, spec, "macd", signal, "macd_signal").withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 

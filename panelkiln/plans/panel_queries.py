@@ -55,10 +55,10 @@ def returns_orders(t: Tables):
     return rounded(windows.returns(t.panel(), ORDERS, "price"), 6)
 
 
-@query(f"with b as {BAR} select event_type, day, round(volume, 6) as volume, round(ln(1 + volume), 6) as log_volume, round(ln(1 + volume) - lag(ln(1 + volume)) over (partition by event_type order by day), 6) as log_volume_change from b")
+@query(f"with b as {BAR} select event_type, day, round(volume, 6) as volume, round(ln(1 + volume), 6) as log_volume, round(ln(1 + volume) - lag(ln(1 + volume)) over (partition by event_type order by day), 6) as log_volume_change, case when count(volume) over w >= 10 then round(volume / avg(volume) over w, 6) end as volume_to_mean_10 from b window w as (partition by event_type order by day rows between 9 preceding and current row)")
 def log_volume_bars(t: Tables):
-    v = F.log1p("volume")
-    return rounded(t.bars().select("event_type", "day", "volume", v.alias("log_volume"), (v - F.lag(v).over(BARS.window())).alias("log_volume_change")))
+    df = windows.volume_features(t.bars(), BARS, "volume")
+    return rounded(df.select("event_type", "day", "volume", "log_volume", "log_volume_change", "volume_to_mean_10"))
 
 
 @query(f"select {KEYS}, price, " + ", ".join(f"case when count(price) over {frame(10)} >= 10 then round(price / {f}(price) over {frame(10)} - 1, 6) end as price_to_{k}_10" for k, f in (("mean", "avg"), ("max", "max"), ("min", "min"))) + f" from {PANEL}")
@@ -141,11 +141,6 @@ def ema_orders(t: Tables):
     return rounded(windows.ema(t.panel(), ORDERS, "price", 12), 4, "price_ema_12")
 
 
-@query()
-def technical_events(t: Tables):
-    return windows.technical(t.bars(), BARS, "close", "volume")
-
-
 @query("select l_orderkey, l_linenumber, l_quantity, l_partkey, rank() over (order by l_quantity) + (count(*) over (partition by l_quantity) - 1) / 2 as rank_l_quantity from lineitem")
 def avg_rank_lineitem(t: Tables):
     return windows.average_rank(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey"), "l_quantity")
@@ -171,11 +166,9 @@ def _made(t: Tables, made, digits=6):
 BASIC = {"log": "ln(greatest({x}, 1e-10))", "log1p": "ln(1 + abs({x}))", "exp": "exp(least({x}, 10.0))", "expm1": "exp(least({x}, 10.0)) - 1", "square": "{x} * {x}", "sqrt": "sqrt(abs({x}))", "cube": "{x} * {x} * {x}", "cbrt": "cbrt({x})", "reciprocal": "1 / (abs({x}) + 1e-10)", "sigmoid": "1 / (1 + exp(-{x}))"}
 
 
-@query(f"select {L}, " + ", ".join(f"round({e.format(x=c)}, 4) as {c}_{n}" for c in ("l_quantity", "l_tax") for n, e in BASIC.items() if (c, n) != ("l_tax", "reciprocal")) + " from lineitem")
+@query(f"select {L}, " + ", ".join(f"round({e.format(x=c)}, 4) as {c}_{n}" for c in ("l_quantity", "l_tax") for n, e in BASIC.items()) + " from lineitem")
 def math_basic(t: Tables):
-    made = rowmath.basic(["l_quantity", "l_tax"], BASIC)
-    made.pop("l_tax_reciprocal")  # 1 / 1e-10 where the tax is 0
-    return _made(t, made, 4)
+    return _made(t, rowmath.basic(["l_quantity", "l_tax"], BASIC), 4)
 
 
 TRIG = {"sin": "sin(least(greatest({x}, -10), 10))", "cos": "cos(least(greatest({x}, -10), 10))", "tanh": "tanh(least(greatest({x}, -10), 10))", "tan": "tan(least(greatest({x}, -1.5), 1.5))", "sinh": "sinh(least(greatest({x}, -5), 5))", "cosh": "cosh(least(greatest({x}, -5), 5))", "sin_scaled": "sin(tanh({x}) * pi())", "cos_scaled": "cos(tanh({x}) * pi())", "tanh_scaled": "tanh(tanh({x}) * pi())"}
@@ -226,24 +219,12 @@ def k_products(t: Tables):
 ROWS = "(select *, [l_quantity, l_extendedprice / 1000, l_discount * 100, l_tax * 100] as x from lineitem)"
 
 
-@query(f"""with v as (select {L}, unnest(x) as v from {ROWS}), m as (select {L}, avg(v) as mean, stddev_samp(v) as std, skewness(v) as skew, kurtosis(v) as kurt, {', '.join(f'quantile_cont(v, {q}) as q{round(100 * q)}' for q in (0.1, 0.25, 0.5, 0.75, 0.9))} from v group by all having count(*) = 4)
+@query(f"""with m as (select {L}, list_avg(x) as mean, list_stddev_samp(x) as std, list_skewness(x) as skew, list_kurtosis(x) as kurt, {', '.join(f"list_aggregate(x, 'quantile_cont', {q}) as q{round(100 * q)}" for q in (0.1, 0.25, 0.5, 0.75, 0.9))} from {ROWS})
 select {L}, round(mean, 8) as l_mean, round(std, 8) as l_std, round(skew, 8) as l_skew, round(kurt, 8) as l_kurt, {', '.join(f'round(q{q}, 8) as l_q{q}' for q in (10, 25, 50, 75, 90))} from m""")
 def row_stats(t: Tables):
     df = t.lineitem.select(*LK, "l_quantity", (F.col("l_extendedprice") / 1000).alias("p"), (F.col("l_discount") * 100).alias("d"), (F.col("l_tax") * 100).alias("x"))
-    one = df.groupBy(*LK).agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("l_quantity", "p", "d", "x"))).filter("n = 1")  # a key that repeats has no row of its own
     made = rowmath.row_statistics(["l_quantity", "p", "d", "x"], "l")
-    return rounded(rowmath.add(one, made).select(*LK, *made), 8)
-
-
-@query()
-def noise_baselines(t: Tables):
-    made = rowmath.noise_columns(["o_orderkey"], 0.0, 1.0)
-    return rowmath.add(t.orders.select("o_orderkey"), made)
-
-
-@query()
-def all_transforms(t: Tables):
-    return _made(t, rowmath.all_transforms(["l_quantity", "l_discount"]))
+    return rounded(rowmath.add(df, made).select(*LK, *made), 8)
 
 
 @query()

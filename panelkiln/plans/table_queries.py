@@ -28,10 +28,13 @@ def folder(t: Tables, name: str) -> str:
 # cleaning
 
 
-@query("select o_orderkey::integer as o_orderkey, o_custkey::smallint as o_custkey, round(o_totalprice::float::double, 2) as o_totalprice from orders")
+_KIND = "(select case when max({c}) < 32768 then 'smallint' when max({c}) < 2147483648 then 'int' else 'bigint' end from orders) as {c}_type"
+
+
+@query(f"select o_orderkey, o_custkey, round(o_totalprice::float::double, 2) as o_totalprice, {_KIND.format(c='o_orderkey')}, {_KIND.format(c='o_custkey')}, 'float' as o_totalprice_type from orders")
 def reduce_precision(t: Tables):
     df = clean.reduce_precision(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"))
-    return df.withColumn("o_totalprice", F.round(F.col("o_totalprice").cast("double"), 2)).withColumn("o_orderkey", F.col("o_orderkey").cast("int")).withColumn("o_custkey", F.col("o_custkey").cast("short"))
+    return df.select("*", *(F.lit(kind).alias(f"{c}_type") for c, kind in df.dtypes)).withColumn("o_totalprice", F.round(F.col("o_totalprice").cast("double"), 2))
 
 
 ID = "concat_ws('_', o_custkey, strftime(o_orderdate, '%Y-%m-%d'))"
@@ -81,7 +84,11 @@ def one_hot_orders(t: Tables):
     return clean.one_hot(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus").drop("o_orderstatus")
 
 
-@query()
+def _md5(key: str, seed: int = 42) -> str:
+    return f"('0x' || substr(md5({key} || ':{seed}'), 1, 13))::bigint"
+
+
+@query(f"select o_orderkey, o_totalprice from orders where {_md5('o_orderkey')} < {int(0.1 * 2**52)}")
 def hash_sample_orders(t: Tables):
     return clean.hash_sample(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 0.1)
 
@@ -120,7 +127,7 @@ def join_targets(t: Tables):
 def join_alternative(t: Tables):
     own = t.customer.select(F.col("c_custkey").alias("symbol"), F.lit("2024").alias("date"), "c_acctbal")
     train = t.orders.groupBy(F.col("o_custkey").alias("symbol")).agg(F.sum("o_totalprice").alias("target")).withColumn("date", F.lit("2024"))
-    return joins.join_alternative(own, train, 0)
+    return joins.join_alternative(own, train, ["symbol", "date"])
 
 
 @query("select c_custkey as asset, c_mktsegment, n_orders from customer left join (select o_custkey, count(*) as n_orders from orders group by 1) on o_custkey = c_custkey")
@@ -182,6 +189,17 @@ def correlation_matrix(t: Tables):
     return t.spark.createDataFrame([(a, b, round(float(m[i, j]), 6)) for i, a in enumerate(NUM) for j, b in enumerate(NUM) if i != j], "a string, b string, r double")
 
 
+_GAPS = "(select case when l_orderkey % 17 <> 0 then l_quantity end as a, case when l_orderkey % 5 <> 0 then l_extendedprice end as b, l_tax as c from lineitem)"
+
+
+@query(" union all ".join(f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as r from {_GAPS}" for a in "abc" for b in "abc" if a != b))
+def correlation_with_gaps(t: Tables):
+    k = F.col("l_orderkey")
+    df = t.lineitem.select(F.when(k % 17 != 0, F.col("l_quantity")).alias("a"), F.when(k % 5 != 0, F.col("l_extendedprice")).otherwise(F.lit(float("nan"))).alias("b"), F.col("l_tax").alias("c"))
+    m = stats.correlation_matrix(df, ["a", "b", "c"])
+    return t.spark.createDataFrame([(a, b, round(float(m[i, j]), 6)) for i, a in enumerate("abc") for j, b in enumerate("abc") if i != j], "a string, b string, r double")
+
+
 @query("select round((avg(l_quantity) + avg(l_tax)) / 2, 6) as mean, round((stddev_samp(l_quantity) + stddev_samp(l_tax)) / 2, 6) as std from lineitem")
 def overall_scale(t: Tables):
     return rounded(stats.overall_scale(t.lineitem, ["l_quantity", "l_tax"]), 6)
@@ -225,12 +243,13 @@ def top_features(t: Tables):
     return t.spark.createDataFrame([(c,) for c in selection.top_by_target(t.lineitem, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", 2)], "feature string")
 
 
-@query()
+@query("with r as (" + " union all ".join(f"select '{b}' as feature, abs(corr({a}, {b})) as r from (select *, l_quantity * 2 + 1 as twice from lineitem)" for i, b in enumerate(_DROP) for a in _DROP[:i]) + ") select feature from (select 'l_quantity' as feature union all select feature from r group by feature having max(r) <= 0.95) order by sha256('42:' || feature) limit 3")
 def select_chain(t: Tables):
     return t.spark.createDataFrame([(c,) for c in selection.select_chain(_wide(t), [*NUM, "twice", "constant"], 3)], "feature string")
 
 
-@query()
+# three columns make three sums, three products and three squares: 12, of which 30 % go; the next round fills up to 12 again
+@query("select i::bigint as iteration, 12::bigint as generated, 9::bigint as kept from (select unnest([0, 1]) as i from (select count(*) as n from lineitem) where n > 0)")
 def evolve_lineitem(t: Tables):
     spec = PanelSpec("l_partkey", "l_shipdate", ("l_orderkey", "l_linenumber", "l_suppkey"), target="l_extendedprice")
     df = t.lineitem.select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", *NUM)
@@ -246,7 +265,7 @@ def time_split(t: Tables):
     return split.time_split(t.orders.select("o_custkey", "o_orderdate", "o_orderkey"), ORDERS).select("o_orderkey", "split")
 
 
-@query()
+@query(f"select o_orderkey, case when {_md5('o_orderkey')} < {int(0.2 * 2**52)} then 'test' else 'train' end as split from orders")
 def hash_split(t: Tables):
     return split.hash_split(t.orders.select("o_orderkey"), ["o_orderkey"])
 
@@ -338,26 +357,32 @@ def _training(t: Tables):
 X = ["l_quantity", "l_discount", "l_tax"]
 
 
-@query()
+@query("select count(*) as n_rows, true as near_deviation, 0::bigint as n_missing from lineitem")
 def fit_boosted_trees(t: Tables):
+    """Rows scored; whether the error is at most 1.05 times the target's deviation, as any fit's should be; rows without a prediction."""
     df = _training(t)
-    model = modeling.fit(df, X, "gbt", "fast", validation="valid")
-    return ensemble.regression_metrics(model.transform(df), "target", "prediction")
+    scored = modeling.fit(df, X, "gbt", "fast", validation="valid").transform(df)
+    spread = scored.agg(F.count("*").alias("n_rows"), F.stddev_pop("target").alias("std"), F.count(F.when(F.col("prediction").isNull(), 1)).alias("n_missing"))
+    return spread.join(ensemble.regression_metrics(scored, "target", "prediction")).select("n_rows", (F.col("rmse") < F.col("std") * 1.05).alias("near_deviation"), "n_missing")
 
 
-@query()
+@query("select feature, true as share, 1.0::double as total from (select unnest(['l_quantity', 'l_discount', 'l_tax']) as feature)")
 def fit_forest(t: Tables):
+    """Each feature: whether its importance is a share; all of them add up to 1."""
     df = _training(t)
-    model = modeling.fit(df, X, "forest", "fast", scale=True)
-    return modeling.importance(model, X, t.spark)
+    i = modeling.importance(modeling.fit(df, X, "forest", "fast", scale=True), X, t.spark)
+    one = i.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return i.join(F.broadcast(one)).select("feature", F.col("importance").between(0, 1).alias("share"), "total")
 
 
-@query()
+@query("select count(*) as n_rows, true as better_than_chance, 0::bigint as n_outside from lineitem")
 def fit_classifier(t: Tables):
+    """Rows scored; whether the area under the curve is over one half; scores that are no probability."""
     df = _training(t)
-    model = modeling.fit(df, X, "classifier", "fast", label="y")
+    model = modeling.fit(df, X, "classifier", "fast", label="y", validation="valid")
     scored = model.transform(df).select("y", F.element_at(_probability(), 2).alias("s"))
-    return ensemble.classification_metrics(scored, "y", "s")
+    seen = scored.agg(F.count("*").alias("n_rows"), F.count(F.when((F.col("s") < 0) | (F.col("s") > 1), 1)).alias("n_outside"))
+    return seen.join(ensemble.classification_metrics(scored, "y", "s")).select("n_rows", (F.col("auc") > 0.5).alias("better_than_chance"), "n_outside")
 
 
 def _probability():
@@ -372,19 +397,25 @@ def mean_model(t: Tables):
     return rounded(modeling.MeanModel(df, X).transform(df).select("l_orderkey", "prediction"), 4)
 
 
-@query()
+@query("select l_orderkey, true as inside, 'm1' as model_id, 0.5::double as r2 from lineitem")
 def registry_and_score(t: Tables):
+    """A model saved, listed by type and feature set, loaded and scored: predictions lie in the cut range."""
     df = _training(t)
     reg = modeling.ModelRegistry(t.spark, folder(t, "models"))
-    reg.register("m1", "gbt", modeling.fit(df.withColumn("target", F.col("y")), X, "forest", "fast"), X, {"rmse": 1.0}, created=1.0)
+    reg.register("m1", "gbt", modeling.fit(df.withColumn("target", F.col("y")), X, "forest", "fast"), X, {"rmse": 1.0}, created=1.0, feature_set="small")
     reg.update_metrics("m1", {"r2": 0.5})
-    model, features = reg.load(reg.latest("gbt").model_id)
-    return modeling.score(model, df, features, "l_orderkey")
+    row = reg.list("gbt", "small").first()
+    model, features = reg.load(row.model_id)
+    scored = modeling.score(model, df, features, "l_orderkey")
+    return scored.select("l_orderkey", F.col("prediction").between(0.05, 0.95).alias("inside"), F.lit(row.model_id).alias("model_id"), F.get_json_object(F.lit(row.metrics), "$.r2").cast("double").alias("r2"))
 
 
-@query()
+@query("select unnest(['two', 'three']) as model, true as near_deviation from (select count(*) as n from lineitem) where n > 0")
 def compare_models(t: Tables):
-    return modeling.compare(_training(t), {"two": (X[:2], "forest", "fast"), "three": (X, "forest", "fast")}, ["l_orderkey"])
+    """Each candidate: whether its error on the folds it did not see is at most 1.05 times the target's deviation."""
+    df = _training(t)
+    found = modeling.compare(df, {"two": (X[:2], "forest", "fast"), "three": (X, "forest", "fast")}, ["l_orderkey"])
+    return found.join(F.broadcast(df.agg(F.stddev_pop("target").alias("std")))).select("model", (F.col("rmse") < F.col("std") * 1.05).alias("near_deviation"))
 
 
 # run metrics over relations derived from orders: a run is a customer, a model an order
@@ -421,11 +452,14 @@ def list_models(t: Tables):
     return run_metrics.list_rows(_models(t), 30, 5, run_id="5", model_type=None)
 
 
-@query(f"with m as ({_MODELS}), r as ({_RUNS}) select r.run_id, r.round, r.timestamp, count(model_id) as n_models from r left join m using (run_id) group by all")
+@query(f"""with m as ({_MODELS}), r as ({_RUNS}), c as (select run_id, count(*) as n_models, min(model_id) as first_model from m group by 1),
+f as (select user_id::varchar as run_id, count(distinct event_type) as n_features, max(event_type) as last_feature from events group by 1), s as (select run_id, count(*) as n_submissions from m where model_type = '1-URGENT' group by 1)
+select r.run_id, r.round, r.timestamp, coalesce(n_models, 0) as n_models, first_model, coalesce(n_features, 0) as n_features, last_feature, coalesce(n_submissions, 0) as n_submissions from r left join c using (run_id) left join f using (run_id) left join s using (run_id)""")
 def run_details(t: Tables):
-    none = t.spark.createDataFrame([], "run_id string, x long")
-    df = run_metrics.run_details(_runs(t), _models(t), none, none)
-    return df.select("run_id", "round", "timestamp", F.greatest(F.coalesce(F.size("models"), F.lit(0)), F.lit(0)).cast("long").alias("n_models"))
+    features = t.events.select(F.col("user_id").cast("string").alias("run_id"), "event_type").distinct()
+    df = run_metrics.run_details(_runs(t), _models(t), features, _models(t).filter("model_type = '1-URGENT'").select("run_id", F.col("model_id").alias("submission_id")))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    return df.select("run_id", "round", "timestamp", size("models").alias("n_models"), F.get("models", F.lit(0))["model_id"].alias("first_model"), size("features").alias("n_features"), F.try_element_at("features", F.lit(-1))["event_type"].alias("last_feature"), size("submissions").alias("n_submissions"))
 
 
 @query(f"with i as ({_IMP}) select m.model_id, round(sum(importance), 2) as total, count(importance) as n from ({_MODELS}) m left join i using (model_id) group by 1")

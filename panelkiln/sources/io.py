@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
 import re
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,15 +35,19 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     """(path, name, modified, round) of the files under a path; round: the largest r<digits> in the name."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "modificationTime")
     name = F.element_at(F.split("path", "/"), -1)
-    found = F.transform(F.regexp_extract_all(name, F.lit(r"r(\d+)"), F.lit(1)), lambda x: x.cast("long"))
-    return rows.select("path", name.alias("name"), F.col("modificationTime").alias("modified"), F.array_max(found).alias("round"))
+    return rows.select("path", name.alias("name"), F.col("modificationTime").alias("modified"), round_column(name).alias("round"))
+
+
+def round_column(name: Column) -> Column:
+    """The largest r<digits> in a name; null without one."""
+    return F.array_max(F.transform(F.regexp_extract_all(name, F.lit(r"r(\d+)"), F.lit(1)), lambda x: x.cast("long")))
 
 
 def latest_file(spark: SparkSession, path: str, patterns: Iterable[str]) -> str | None:
-    """The newest file of the first pattern (a regular expression on the name) that matches any."""
+    """The newest file of the first pattern (like r*_train.parquet, on the name) that matches any."""
     rows = files(spark, path)
     for p in patterns:
-        r = rows.filter(F.col("name").rlike(p)).agg(F.max_by("path", F.struct("modified", "path"))).first()[0]
+        r = rows.filter(F.col("name").rlike(f"^{fnmatch.translate(p)}")).agg(F.max_by("path", F.struct("modified", "path"))).first()[0]
         if r is not None:
             return r
     return None
