@@ -3,7 +3,8 @@
 The store holds one folder of signed totals for each committed batch: inserts add, deletes subtract, and a revised
 count adds its difference. A batch is aggregated on the executors and written under its own identifier, so committing
 it again replaces the same totals with the same totals (a batch marked complete is left alone), and a batch whose job
-died half-way is simply written again. Totals are the sum over batches; compact() folds many batches into one.
+died half-way is simply written again. Totals are the sum over batches; compact() folds many batches into one and keeps
+their names, so that a batch folded in is not added again.
 
 Defined results: a null source or language is a group of its own. A null text has 0 tokens and counts as a document.
 Counts that cancel to no documents and no tokens leave no row. An empty batch commits nothing but its mark. Changes
@@ -23,6 +24,8 @@ from . import kernels as K
 from .common import settle, shared_folder
 from .tokens import CHUNK_BYTES, Ids, vocabulary_path
 
+#: Folder with a marker for each batch that compact() folded in.
+FOLDED = "_folded"
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
@@ -54,22 +57,32 @@ class Rollup:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
-    def _folders(self) -> list[str]:
-        if not self._exists(self.path):
+    def _below(self, path: str) -> list[str]:
+        if not self._exists(path):
             return []
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        found = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(p)
-        return sorted(x.getPath().toString() for x in found if self._exists(f"{x.getPath().toString()}/_SUCCESS"))
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return sorted(x.getPath().toString() for x in p.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(p))
+
+    def _folders(self) -> list[str]:
+        return [x for x in self._below(self.path) if self._exists(f"{x}/_SUCCESS")]
+
+    def batches(self) -> list[str]:
+        """Names of all batches committed, folded ones too."""
+        return sorted(x.rsplit("/batch=", 1)[1] for x in [*self._folders(), *self._below(f"{self.path}/{FOLDED}")])
+
+    def _remember(self, batch: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{FOLDED}/batch={batch}")
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(p)
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds changes (KEYS, old_tokens, new_tokens: null old inserts, null new deletes); False if the batch is already in."""
         at = f"{self.path}/batch={batch}"
-        if self._exists(f"{at}/_SUCCESS"):
+        if self._exists(f"{at}/_SUCCESS") or self._exists(f"{self.path}/{FOLDED}/batch={batch}"):
             return False
         sign = F.col("new_tokens").isNotNull().cast("long") - F.col("old_tokens").isNotNull().cast("long")
         more = F.coalesce("new_tokens", F.lit(0)) - F.coalesce("old_tokens", F.lit(0))
         totals = changes.groupBy(*KEYS).agg(F.sum(sign).alias("n_docs"), F.sum(more).cast("long").alias("n_tokens"))
-        totals.coalesce(1).write.mode("overwrite").parquet(at)  # a row for each group
+        totals.write.mode("overwrite").parquet(at)
         return True
 
     def totals(self) -> DataFrame:
@@ -79,8 +92,10 @@ class Rollup:
 
 
 def compact(rollup: Rollup, path: str, batch: str) -> Rollup:
-    """The same totals as one batch of a new store."""
+    """The same totals as one batch of a new store, which knows the names of the batches folded in."""
     out = Rollup(rollup.spark, path)
+    for name in rollup.batches():
+        out._remember(name)
     rollup.totals().write.mode("overwrite").parquet(f"{out.path}/batch={batch}")
     return out
 
@@ -101,14 +116,14 @@ def corpus_rollup(docs: DataFrame, store: str | None = None, vocabulary: str | N
     committed once more, which changes nothing."""
     spark = docs.sparkSession
     counts = settle(count_tokens(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "counts").withColumn("closed", F.col("words") + 1)
-    # of each text, the row with the smallest doc_id stays
-    first = counts.groupBy("text_key").agg(F.min(F.struct("doc_id", "row")).alias("first"))
-    later = counts.join(first, "text_key").filter(F.col("row") != F.col("first.row"))
+    # of each text, the row with the smallest doc_id stays: all rows are deleted and those inserted again, in one batch,
+    # so no join brings all copies of a text together
+    first = counts.groupBy("text_key").agg(F.min(F.struct("doc_id", "row", "source", "lang", *sorted(set(VERSIONS.values()) | {"closed"}))).alias("first")).select("first.*")
     rollup = Rollup(spark, store or f"{shared_folder(spark)}/panelkiln/rollup-{uuid.uuid4().hex}")
     after = VERSIONS | {"white_space_1": "closed"}
     load = _as_changes(counts, None, VERSIONS)
     rollup.commit("0001-load", load)
     rollup.commit("0002-revise", _as_changes(counts, {"white_space_1": "words"}, {"white_space_1": "closed"}))
-    rollup.commit("0003-copies", _as_changes(later, after, None))
+    rollup.commit("0003-copies", _as_changes(counts, after, None).unionByName(_as_changes(first, None, after)))
     rollup.commit("0001-load", load)
     return rollup.totals()

@@ -117,6 +117,16 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_substring_dedup_keeps_edges_of_one_minimizer_apart():
+    # 300,000 different windows of one minimizer, each held by two documents: none may hide another
+    n = 300_000
+    m, edges = np.full(n, 5, np.uint64), kernels.mix(np.arange(n, dtype=np.uint64))
+    docs = lambda d: substring_dedup._pack(np.zeros(n, np.int64), 0, np.full(n, d, np.int64), np.arange(n) * 2, np.ones(n, np.int64), m, b=edges)
+    out = substring_dedup._resolve(4)(pa.Table.from_batches([docs(1), docs(2)]))
+    docs_, starts, counts, src, at = substring_dedup._unpack(out, np.int32)
+    assert len(docs_) == n and (counts == 1).all() and (docs_ == 2).all() and (src.view(np.int64) == 1).all() and (starts == at).all()
+
+
 def test_toxicity(spark, empty):
     rng = np.random.default_rng(0)
     texts, labels = [], []
@@ -189,6 +199,13 @@ def test_token_counts(spark, docs, empty, tmp_path):
     assert r.totals().count() == 0 and r.commit("a", change) and not r.commit("a", change)
     assert [tuple(x) for x in r.totals().collect()] == [("s", "en", "v", 1, 7)]
     assert [tuple(x) for x in token_counts.compact(r, str(tmp_path / "small"), "b").totals().collect()] == [("s", "en", "v", 1, 7)]
+    small = token_counts.Rollup(spark, str(tmp_path / "small"))
+    assert small.batches() == ["a", "b"] and not small.commit("a", change) and small.commit("c", change)  # a was folded in
+    assert [tuple(x) for x in small.totals().collect()] == [("s", "en", "v", 2, 14)]
+    change.limit(1).selectExpr("source", "lang", "tokenizer", "5L as n_docs", "5L as n_tokens").write.parquet(str(tmp_path / "half" / "batch=a"))
+    (tmp_path / "half" / "batch=a" / "_SUCCESS").unlink()  # a job that died before it was done
+    half = token_counts.Rollup(spark, str(tmp_path / "half"))
+    assert half.totals().count() == 0 and half.commit("a", change) and [tuple(x) for x in half.totals().collect()] == [("s", "en", "v", 1, 7)]
     assert token_counts.corpus_rollup(empty).count() == 0
 
 
