@@ -147,6 +147,18 @@ def test_toxicity(spark, empty):
     assert toxicity.score(docs, model).count() == 903 and toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_on_held_out_rows(spark):
+    for sf, least in (("0.1", 0.95), ("0.001", None)):
+        at = f"/root/testdata/sf{sf}"
+        docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+        got = toxicity.score(docs, toxicity.fit(docs, labels)).filter("held_out").join(labels.select("doc_id", "toxic"), "doc_id").select("score", "toxic").collect()
+        assert len({r.score for r in got}) > 5
+        if least:
+            y, s = np.array([r.toxic for r in got]), np.array([r.score for r in got])
+            assert (s[y == 1][:, None] > s[y == 0][None, :]).mean() + (s[y == 1][:, None] == s[y == 0][None, :]).mean() / 2 > least
+            assert (s[y == 1] >= 0.3).mean() > 0.85 and (s[y == 0] >= 0.3).mean() < 0.05
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 8))
