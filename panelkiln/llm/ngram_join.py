@@ -2,9 +2,9 @@
 
 A text is the set of its five-word shingles (hashes of 48 bits; words lie between ASCII white space, unchanged). Equal
 sets are one set with a weight before anything else. Each set has `trees` MinHash labels of up to `depth` values, whose
-prefixes are the tries' branches. Sets that share a prefix at the current depth meet; the prefix is shortened by one
-value at a time until the estimated recall reaches the target: found pairs weighted by their chance to be found, and
-the chance of a pair exactly at the threshold.
+prefixes are the tries' branches. Sets that share a prefix at the current depth meet. The first depth is the longest
+at which a pair exactly at the threshold meets with the target recall; the prefix is then shortened by one value at a
+time while the estimate from the found pairs, weighted by their chance to be found, is below it.
 
 Where a branch's sets meet they are not paired off. A leader is drawn, all members near it by a coarse signature get
 a link to it, those very near leave, and so on; Jaccard distance is a metric, so two sets at 0.8 end up linked
@@ -250,6 +250,8 @@ def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12,
     some = signed.filter("n > 0")
     sets = settle(some.groupBy("set_key", "n").agg(F.count("*").alias("weight"), F.min("doc_id").alias("least_id"), F.min(place).alias("place"), F.first("signature").alias("signature")).withColumn("rep", F.monotonically_increasing_id()), "sets")
     at = depth
+    while at > 1 and chance(least, at, trees) < recall:  # too long a prefix whatever the data
+        at -= 1
     while True:
         rows = sets.select("rep", "signature").mapInArrow(_labels(trees, depth, at), "label long, rep long, coarse binary")
         met = block_pairs(rows, ["label"], F.col("rep"), branch_block, buckets)
