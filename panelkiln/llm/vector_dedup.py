@@ -10,7 +10,8 @@ all cells counts each link once. Tasks give back counts and a spanning forest of
 Equal vectors of a label are one vector with a weight before the join, so copies cost nothing.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component, or whose label is null,
-links with nothing: 0 links, its own component, kept. So do vectors of different lengths. Rows with a null vec_id give
+links with nothing: 0 links, its own component, kept. So do vectors of different lengths. Each vector is first scaled by
+a power of two, so that components near the limits of a double keep their cosine. Rows with a null vec_id give
 rows with a null component and are counted as neighbours. A repeated row counts as another vector: it links with its
 twin. Other columns play no part. An empty table gives no rows.
 """
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -28,6 +29,8 @@ from .common import components, partitions, settle
 
 #: Around the threshold, where the order of a product's sums could matter, cosines are computed again one by one.
 NEAR = 1e-9
+#: Distances near 0 come from cosines near 1 and are exact to about 2e-8.
+SLACK = 1e-7
 
 
 def _matrix(column) -> np.ndarray:
@@ -46,43 +49,45 @@ def _linked(a: np.ndarray, b: np.ndarray, least: float):
     return x[sure], y[sure]
 
 
-def _cells(pivots: np.ndarray, labels: np.ndarray, r: float, radius: dict | None):
-    """Per batch: the nearest pivot of each vector, or (with radii) all cells it is needed in."""
+def _distances(t: pa.Table, pivots: pa.Table, dims: int) -> np.ndarray:
+    """Distances of the vectors of t to each pivot, all scaled to length 1; without pivots one direction serves."""
+    x, p = _matrix(t.column("v")), _matrix(pivots.take(pa.array(np.argsort(pivots.column("k").to_numpy()))).column("p")) if pivots.num_rows else np.eye(1, dims)
+    x, p = (m / np.sqrt((m * m).sum(1))[:, None] for m in (x, p))
+    return np.sqrt(np.maximum(0, 2 - 2 * x @ p.T))
 
-    def run(batches):
-        for b in batches:
-            v, label, dims = _matrix(b.column("v")) if b.num_rows and len(set(b.column("dims").to_pylist())) == 1 else None, b.column("label").to_numpy(), b.column("dims").to_pylist()
-            rows, cells, home, dist = [], [], [], []
-            for i in range(b.num_rows):
-                own = (label[i], dims[i])
-                at = pivots.get(own)
-                if at is None:
-                    continue
-                x = v[i] if v is not None else np.frombuffer(b.column("v")[i].as_py(), np.float64)
-                rows.append((i, own, x))
-            for own in sorted({o for _, o, _ in rows}):
-                idx = [i for i, o, _ in rows if o == own]
-                x = np.array([y for _, o, y in rows if o == own])
-                x = x / np.sqrt((x * x).sum(1))[:, None]
-                d = np.sqrt(np.maximum(0, 2 - 2 * x @ pivots[own].T))
-                near = d.argmin(1)
-                nearest = d[np.arange(len(x)), near]
-                if radius is None:
-                    for i, c, y in zip(idx, near, nearest, strict=True):
-                        cells.append((i, int(c), True, float(y)))
-                else:
-                    reach = np.array([radius.get((*own, c), -1.0) for c in range(len(pivots[own]))])
-                    need = (d <= nearest[:, None] + 2 * r + NEAR) & (d <= reach[None, :] + r + NEAR)
-                    need[np.arange(len(x)), near] = True
-                    for q, c in zip(*np.nonzero(need), strict=True):
-                        cells.append((idx[q], int(c), bool(near[q] == c), float(d[q, c])))
-            take = pa.array([c[0] for c in cells], pa.int64())
-            yield pa.record_batch([*(b.column(n).take(take) for n in ("rep", "label", "dims", "weight", "v")), pa.array([c[1] for c in cells], pa.int32()), pa.array([c[2] for c in cells], pa.bool_()), pa.array([c[3] for c in cells], pa.float64())], ["rep", "label", "dims", "weight", "v", "cell", "home", "d"])
 
-    return run
+RADII = "label int, dims int, k int, reach double"
+CELLS = "rep long, label int, dims int, weight long, v binary, own int, cells array<int>"
+
 
+def _radii(t: pa.Table, pivots: pa.Table) -> pa.Table:
+    """How far the residents of each cell lie from its pivot."""
+    if not t.num_rows:
+        return pa.table({"label": pa.array([], pa.int32()), "dims": pa.array([], pa.int32()), "k": pa.array([], pa.int32()), "reach": pa.array([], pa.float64())})
+    label, dims = (t.column(c)[0].as_py() for c in ("label", "dims"))
+    d = _distances(t, pivots, dims)
+    # a vector between two pivots counts for both, so that rounding cannot put it outside its cell later
+    reach = np.where(d <= d.min(1)[:, None] + SLACK, d, -1.0).max(0)
+    k = np.flatnonzero(reach >= 0).astype(np.int32)
+    return pa.table({"label": np.full(len(k), label, np.int32), "dims": np.full(len(k), dims, np.int32), "k": k, "reach": reach[k]})
 
-CELLS = "rep long, label int, dims int, weight long, v binary, cell int, home boolean, d double"
+
+def _cells(r: float):
+    """Each vector with its own cell and all cells it is needed in."""
+
+    def run(t: pa.Table, pivots: pa.Table) -> pa.Table:
+        keep = t.select(["rep", "label", "dims", "weight", "v"])
+        d = _distances(t, pivots, t.column("dims")[0].as_py()) if t.num_rows else np.zeros((0, 1))
+        own = d.argmin(1)
+        reach = np.full(d.shape[1], np.inf)
+        if pivots.num_rows:
+            reach[pivots.column("k").to_numpy()] = pivots.column("reach").to_numpy()
+        need = (d <= d[np.arange(len(d)), own][:, None] + 2 * r + SLACK) & (d <= reach[None, :] + r + SLACK)
+        need[np.arange(len(d)), own] = True
+        cells = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(need.sum(1))), pa.int32()), pa.array(np.nonzero(need)[1], pa.int32()))
+        return keep.append_column("own", pa.array(own, pa.int32())).append_column("cells", cells)
+
+    return run
 
 
 def _join_cells(least: float):
@@ -131,11 +136,11 @@ def _join_cells(least: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.98, cell_rows: int = 2000, most_pivots: int = 64, block: int = 2048) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.98, cell_rows: int = 2000, most_pivots: int = 64, block: int = 2048, part_bytes: int = 8 << 20) -> DataFrame:
     """Per row: vec_id, n_links, component_id and kept, for (vec_id, embedding, label).
 
-    least: smallest cosine of a link. cell_rows: vectors that a pivot should have; most_pivots: per label and length (a
-    bound on what is broadcast). block: rows of a cell's block, the unit of a task's work.
+    least: smallest cosine of a link. cell_rows: vectors that a pivot should have; most_pivots: per label and length.
+    block: rows of a cell's block, the unit of a task's work. part_bytes: vectors that are held against the pivots at once.
     """
     spark = vectors.sparkSession
     r = float(np.sqrt(2 - 2 * least))
@@ -147,30 +152,33 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, cell_rows: int = 2000,
 
     def binary(batches):
         for b in batches:
-            values = b.column("e").flatten().to_numpy(zero_copy_only=False)
-            data, ends = values.astype("<f8").tobytes(), np.append(0, np.cumsum(b.column("dims").to_numpy().astype(np.int64))) * 8
+            values, dims = b.column("e").flatten().to_numpy(zero_copy_only=False), b.column("dims").to_numpy().astype(np.int64)
+            if len(dims):  # by a power of two, so that no square overflows or vanishes and no digit changes
+                most = np.maximum.reduceat(np.abs(values), np.cumsum(dims) - dims)
+                values = np.ldexp(values, np.repeat(-np.frexp(most)[1], dims))
+            data, ends = values.astype("<f8").tobytes(), np.append(0, np.cumsum(dims)) * 8
             yield pa.record_batch([b.column("vec_id"), b.column("label"), b.column("dims"), pa.array([data[s:t] for s, t in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())], ["vec_id", "label", "dims", "v"])
 
     good = base.filter("fine").select("vec_id", "label", F.size("e").alias("dims"), "e").mapInArrow(binary, "vec_id long, label int, dims int, v binary")
     good = settle(good.withColumn("digest", F.sha2("v", 256)), "vectors")
     # equal vectors of a label: one, named by a number fixed where the table is written
     unique = settle(good.groupBy("label", "dims", "digest").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least_id"), F.first("v").alias("v")).withColumn("rep", F.monotonically_increasing_id()), "unique")
-    sizes = {(x.label, x.dims): x.n for x in unique.groupBy("label", "dims").agg(F.count("*").alias("n")).collect()}
-    rank = F.row_number().over(_by_hash())
-    want = F.least(F.lit(most_pivots), F.greatest(F.lit(1), F.ceil(F.col("n") / cell_rows)))
+    # only labels of several pivots are cut into cells; their vectors are dealt to tasks by bytes, each part beside all pivots of its label
+    key = ["label", "dims"]
+    counts = unique.groupBy(*key).agg(F.count("*").alias("size"))
+    want = F.least(F.lit(most_pivots), F.ceil(F.col("size") / cell_rows))
+    large = settle(counts.filter(F.col("size") > cell_rows).select(*key, "size", want.alias("want"), F.ceil(F.col("size") * F.col("dims") * 8 / part_bytes).alias("parts")), "large")
     # candidates for pivots: a hash sample that holds a bounded number for each label
-    counts = unique.groupBy("label", "dims").agg(F.count("*").alias("n"))
-    drawn = unique.join(F.broadcast(counts) if len(sizes) <= 100_000 else counts, ["label", "dims"]).filter(F.pmod(F.xxhash64("digest"), F.lit(1 << 40)) < F.ceil(F.lit(8.0 * (1 << 40)) * want / F.col("n")) + 0)
-    picked = drawn.withColumn("k", rank).filter(F.col("k") <= want).select("label", "dims", "v", "digest").orderBy("label", "dims", "digest").collect()
-    pivots: dict = {}
-    for x in picked:
-        pivots.setdefault((x.label, x.dims), []).append(np.frombuffer(x.v, np.float64))
-    pivots = {k: (m := np.array(p)) / np.sqrt((m * m).sum(1))[:, None] for k, p in pivots.items()}
-    for k in sizes.keys() - pivots.keys():  # the sample missed a small label: any direction serves as its pivot
-        pivots[k] = np.eye(1, k[1])
-    homes = unique.select("rep", "label", "dims", "weight", "v").mapInArrow(_cells(pivots, None, r, None), CELLS)
-    radius = {(x.label, x.dims, x.cell): x.d for x in homes.groupBy("label", "dims", "cell").agg(F.max("d").alias("d")).collect()}
-    cells = unique.select("rep", "label", "dims", "weight", "v").mapInArrow(_cells(pivots, None, r, radius), CELLS)
+    drawn = unique.join(large, key).filter(F.pmod(F.xxhash64("digest"), F.lit(1 << 40)) < F.ceil(F.lit(8.0 * (1 << 40)) * F.col("want") / F.col("size")))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("digest"), "digest"))
+    pivots = settle(drawn.withColumn("k", place - 1).filter("k < want").select(*key, "k", F.col("v").alias("p"), "parts"), "pivots")
+    dealt = unique.join(large, key).select("rep", *key, "weight", "v", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")).groupBy(*key, "part")
+    beside = lambda p: p.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts").groupBy(*key, "part")
+    radii = dealt.cogroup(beside(pivots)).applyInArrow(_radii, RADII).groupBy(*key, "k").agg(F.max("reach").alias("reach"))
+    reached = pivots.join(radii, [*key, "k"], "left").withColumn("reach", F.coalesce("reach", F.lit(-1.0)))
+    sent = settle(dealt.cogroup(beside(reached)).applyInArrow(_cells(r), CELLS), "cells")
+    whole = unique.join(large, key, "left_anti").select("rep", *key, "weight", "v", F.lit(0).alias("cell"), F.lit(True).alias("home"))
+    cells = sent.select("rep", *key, "weight", "v", "own", F.explode("cells").alias("cell")).withColumn("home", F.expr("own = cell")).drop("own").unionByName(whole)
     buckets = partitions(spark, 2)
     pairs = block_pairs(cells, ["label", "dims", "cell"], F.col("rep"), block, buckets)
     found = settle(pairs.groupBy("bucket").applyInArrow(_join_cells(least), "a long, b long, links long"), "links")
@@ -184,8 +192,3 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, cell_rows: int = 2000,
     alone = base.filter("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
-
-def _by_hash():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("label", "dims").orderBy(F.xxhash64("digest"), "digest")

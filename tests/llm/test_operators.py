@@ -164,13 +164,14 @@ def test_vectors(spark):
     base = rng.normal(size=(40, 8))
     v = [(i, [float(x) for x in base[i % 40] + 0.08 * rng.normal(size=8)], i % 3) for i in range(300)]
     v += [(300, None, 1), (301, [], 1), (302, [0.0] * 8, 1), (303, [float("nan")] * 8, 1), (304, [1.0, None] * 4, 1), (305, v[0][1], None), (306, v[0][1], 0), (306, v[0][1], 0), (307, [1.0, 2.0], 0), (308, [2.0, 4.0], 0), (309, [float("inf")] * 8, 0)]
+    v += [(310 + i, [x * m for x in v[0][1]], 0) for i, m in enumerate((1e290, 1e-290, 4.0))]  # squares that overflow or vanish
     df = spark.createDataFrame([(*r, "x") for r in v], "vec_id long, embedding array<double>, label int, cell string")
     fine = [r[2] is not None and r[1] and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1]) for r in v]
     links = collections.defaultdict(set)
     for a in range(len(v)):
         for b in range(len(v)):
             if a != b and fine[a] and fine[b] and v[a][2] == v[b][2] and len(v[a][1]) == len(v[b][1]):
-                x, y = np.array(v[a][1]), np.array(v[b][1])
+                x, y = (np.array(e) / max(map(abs, e)) for e in (v[a][1], v[b][1]))
                 if (x * y).sum() / (np.sqrt((x * x).sum()) * np.sqrt((y * y).sum())) >= 0.98:
                     links[a].add(b)
     want = collections.Counter()
@@ -182,7 +183,7 @@ def test_vectors(spark):
                 todo.append(b)
         c = min(v[x][0] for x in seen)
         want[(v[a][0], len(links[a]), c, v[a][0] == c)] += 1
-    for settings in ({}, {"cell_rows": 10, "block": 7}):
+    for settings in ({}, {"cell_rows": 10, "block": 7}, {"cell_rows": 10, "part_bytes": 512}):
         assert counted(vector_dedup.near_vectors(df, **settings), "vec_id", "n_links", "component_id", "kept") == want
     assert sum(len(x) for x in links.values()) > 100
     assert vector_dedup.near_vectors(df.limit(0)).count() == 0
