@@ -271,6 +271,52 @@ def test_pseudo_likelihood_predicts_words_of_a_large_vocabulary(spark):
     assert wide["heads"]["kinds"].sum() == 60000 and len(wide["heads"]["words"]) == 60
 
 
+def test_pseudo_likelihood_equals_a_brute_force_one(spark, docs):
+    texts = {i: (t or "").translate(LOW).encode().split() for i, t, _ in ROWS if i is not None and i not in (10, 15)}
+    texts |= {100 + i: f"the cat{i % 3} sat on the mat{i % 5} and slept".encode().split() for i in range(30)}
+    df = spark.createDataFrame([(i, b" ".join(t).decode()) for i, t in texts.items()], "doc_id long, text string")
+    model = pseudo_likelihood.fit(df)
+    heads, p = model["heads"], {k: x.astype(float) for k, x in model["network"].items()}
+    vocabulary = collections.Counter(w for t in texts.values() for w in t)
+    hashed = {w: int(kernels.words_of(pa.array([w.decode()]))[0][0]) for w in vocabulary}
+    frequent = {int(h): i for i, h in enumerate(heads["word"])}
+    kind = {w: frequent.get(h, len(frequent) + (h >> 7) % heads["shared"]) for w, h in hashed.items()} | {None: len(heads["words"])}
+    tokens_of, kinds_of = collections.Counter(), collections.Counter(kind[w] for w in vocabulary)
+    for w, n in vocabulary.items():
+        tokens_of[kind[w]] += n
+    assert [tokens_of[c] for c in range(len(heads["words"]))] == heads["words"].tolist() and [kinds_of[c] for c in range(len(heads["kinds"]))] == heads["kinds"].tolist()
+    pairs = collections.Counter(x for t in texts.values() if t for x in zip([None, *t], [*t, None], strict=True))
+    single = vocabulary | collections.Counter({None: sum(bool(t) for t in texts.values())})
+    rows, size = len(heads["words"]) + 1, p["e"].shape[1]
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+
+    def classes(around):
+        a = p["b"].copy()
+        for k, w in enumerate(around):
+            a += p["e"][k * rows + kind[w]] @ p["w"][k * size : (k + 1) * size]
+        a = np.tanh(a)
+        top = soft(a @ p["u"] + p["d"])
+        return np.concatenate([top[g] * soft(a @ p["v"][g] + p["c"][g]) for g in range(len(top))])
+
+    def chance(of, w, left, right, own):
+        q = of[kind[w]] * (vocabulary[w] + 1) / (tokens_of[kind[w]] + kinds_of[kind[w]] + 1)
+        side = lambda pair, beside: (max(pairs[pair] - own, 0) + 4 * q) / (max(single[beside] - own, 0) + 4)
+        return (side((left, w), left) + side((w, right), right)) / 2
+
+    for own in (True, False):
+        got = {r.doc_id: r for r in pseudo_likelihood.score(df, model, own=own).collect()}
+        for i, t in texts.items():
+            at, want = [None, None, *t, None, None], 0.0
+            for j in range(2, len(t) + 2):
+                of = classes([at[j + d] for d in (-2, -1, 1, 2)])
+                want += np.log(chance(of, at[j], at[j - 1], at[j + 1], own))
+            assert got[i].n_words == len(t) and abs(got[i].log_likelihood - want) <= 1e-4 * max(1, abs(want))
+    # a place's words share at most 1, and nearly all of it lies on known words and borders
+    of = classes([b"the", b"cat0", b"on", b"the"])
+    total = sum(chance(of, w, b"cat0", b"on", False) for w in vocabulary)
+    assert abs(of.sum() - 1) < 1e-6 and 0.9 < total <= 1 + 1e-9
+
+
 def test_sharding(spark, docs, empty):
     got = sharding.shard(docs, 4).collect()
     want = collections.Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, _ in ROWS)
