@@ -437,6 +437,27 @@ def test_ngram_join_keeps_one_row_of_each_class_without_ids(spark):
     assert group == {"a": 1, "b": 1, "c": 1, "alone": 1, "none": 2} and (5, " ".join(words("a"))) in got and set(got) <= set(rows)
 
 
+def test_ngram_join_recall_on_drifting_versions(spark):
+    # chains of versions: neighbours lie just above the threshold, later ones further and further below, so leaders can split pairs
+    rng = np.random.default_rng(6)
+    rows = []
+    for g in range(40):
+        w = [f"g{g}t{x}" for x in range(160)]
+        for c in range(40):
+            for e in range(int(rng.integers(2, 4))):
+                w[int(rng.integers(0, 160))] = f"g{g}c{c}e{e}"
+            rows.append((len(rows), " ".join(w)))
+    sets = [{tuple(t.split()[p : p + 5]) for p in range(156)} for _, t in rows]
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a + 1, min(len(rows), (a // 40 + 1) * 40)) if near(a, b)]
+    want = collections.Counter(x for p in pairs for x in p)
+    got = {r.doc_id: r for r in ngram_join.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].n_links <= want[i] for i in got)  # no link that is none
+    recall, joined = sum(r.n_links for r in got.values()) / sum(want.values()), np.mean([got[a].class_id == got[b].class_id for a, b in pairs])
+    print(f"{len(pairs)} pairs, recall {recall:.4f}, in one class {joined:.4f}")
+    assert recall > 0.97 and joined > 0.97
+
+
 def test_may_meet_keeps_every_row_that_meets(spark):
     rows = spark.range(2000).selectExpr("IF(id = 7, NULL, id) AS a")
     keys = spark.range(0, 2000, 9).selectExpr("IF(id = 9, NULL, id) AS b")
