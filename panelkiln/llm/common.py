@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where the setting is unset, as in tests."""
+    """The folder all executors share (spark.checkpoint.dir). Where it is unset, a temporary one in local mode, and an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
