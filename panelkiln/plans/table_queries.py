@@ -17,11 +17,14 @@ L4 = ", ".join(LK)
 
 
 def folder(t: Tables, name: str) -> str:
-    """A folder all executors share, for queries that write and read again."""
+    """A folder all executors share, for queries that write and read again; a temporary one in local mode only."""
     import uuid
 
-    conf = t.spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir") or conf.get("spark.sql.warehouse.dir") or tempfile.mkdtemp(prefix="spark-")
+    context = t.spark.sparkContext
+    base = t.spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getConf().get("spark.sql.warehouse.dir")
+    if not base and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/panelkiln/{name}-{uuid.uuid4().hex}"
 
 
