@@ -117,20 +117,20 @@ def row_statistics(columns: Iterable[str], name: str, quantiles: Iterable[float]
     names = list(columns)
     cols = [F.nanvl(_num(c), F.lit(None).cast("double")) for c in names]
     total = lambda xs: sum((F.coalesce(x, F.lit(0.0)) for x in xs), F.lit(0.0))
-    xs = F.array_compact(F.array(*cols))
     n = total(x.isNotNull().cast("double") for x in cols)
     mean = F.try_divide(total(cols), n)
-    m2, m3, m4 = (total(F.pow(x - mean, F.lit(float(p))) for x in cols) for p in (2, 3, 4))
+    m2, m3, m4 = (total(reduce(lambda a, b: a * b, [x - mean] * p) for x in cols) for p in (2, 3, 4))
     std = F.when(n >= 2, F.sqrt(F.try_divide(m2, n - 1)))
     skew = F.when((n >= 3) & (m2 > 0), F.try_divide(n * F.sqrt(n - 1), n - 2) * F.try_divide(m3, F.pow(m2, F.lit(1.5))))
     kurt = F.when((n >= 4) & (m2 > 0), F.try_divide(n * (n + 1) * (n - 1) * m4, (n - 2) * (n - 3) * m2 * m2) - F.try_divide(3 * (n - 1) * (n - 1), (n - 2) * (n - 3)))
-    s = F.array_sort(xs)
+    # sort_array is generated code; without a condition around it the sorted array is shared by all quantiles
+    s = F.sort_array(F.array_compact(F.array(*cols)))
 
     def quantile(q: float) -> Column:
         at = (n - 1) * q
         low, high = F.floor(at).cast("int"), F.ceil(at).cast("int")
         a, b = F.get(s, low), F.get(s, high)
-        return F.when(n > 0, a + (b - a) * (at - low))
+        return a + (b - a) * (at - low)  # without values no place holds any
 
     return {f"{name}_mean": mean, f"{name}_std": std, f"{name}_skew": skew, f"{name}_kurt": kurt} | {f"{name}_q{round(100 * q)}": quantile(q) for q in quantiles}
 
