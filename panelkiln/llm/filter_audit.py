@@ -6,7 +6,7 @@ coalitions, and Shapley values come from the kernel-weighted least squares probl
 solved exactly in rationals.
 
 Defined results: a null text is empty, a null part is the empty string. Rows without doc_id repeat no other row, and no
-row repeats them; rows that share text and doc_id do not repeat each other. A row is good or toxic if any of its labels
+row repeats them, and they have no labels; rows that share text and doc_id do not repeat each other. A row is good or toxic if any of its labels
 says so. Texts of any length are judged whole. Other columns play no part, whatever their names. An empty table gives
 no rows.
 """

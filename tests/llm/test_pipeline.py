@@ -100,7 +100,7 @@ def test_run(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings"):
+    for t in ("documents", "benchmark", "embeddings", "labels"):
         con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     cur = con.execute(queries.SQL[name])
     columns = [c[0] for c in cur.description]
