@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
 from .clean import key_number
+from .order import value_counts
 
 
 def sorted_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -32,15 +33,14 @@ def time_split(df: DataFrame, spec: PanelSpec, test_share: float = 0.2) -> DataF
     Rows are counted per date, and dates in ranges, so no window holds all dates; in the date of the cut, rows are counted
     per group, and only the rows of one group are ranked.
     """
-    counts = df.groupBy(spec.order).agg(F.count("*").alias("n"))
+    counts, part = value_counts(df, spec.order)
     n = counts.agg(F.sum("n")).first()[0] or 0
     cut = int(n * (1 - test_share))
-    at = _where(counts, spec.order, cut)
+    at = _where(counts, part, spec.order, cut)
     if at is None:
         return df.withColumn("split", F.lit("train"))
     day, left = at
-    inner = df.filter(F.col(spec.order) == F.lit(day))
-    group, more = _where(inner.groupBy(spec.group).agg(F.count("*").alias("n")), spec.group, left)
+    group, more = _where(*value_counts(df.filter(F.col(spec.order) == F.lit(day)), spec.group), spec.group, left)
     order, own = F.col(spec.order), F.col(spec.group)
     early = (order < F.lit(day)) | (order == F.lit(day)) & (own < F.lit(group))
     here = (order == F.lit(day)) & own.eqNullSafe(F.lit(group))
@@ -50,17 +50,14 @@ def time_split(df: DataFrame, spec: PanelSpec, test_share: float = 0.2) -> DataF
     return rest.unionByName(split)
 
 
-def _where(counts: DataFrame, column: str, cut: int, ranges: int = 64):
+def _where(counts: DataFrame, part: str, column: str, cut: int):
     """(value, cut - rows before it) for the value of column, in order, whose n rows hold row number cut; None beyond the end.
 
-    The values are counted in ranges of a sort; the driver sees the ranges' sums, and only one range is summed up in order.
+    The driver sees one sum for each part, and only the part that holds the row is summed up in order.
     """
-    parts = counts.repartitionByRange(ranges, column).withColumn("part", F.spark_partition_id())
-    sums = sorted(parts.groupBy("part").agg(F.sum("n").alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).collect(), key=lambda r: r.part)
-    for r in sums:
+    for r in sorted(counts.groupBy(part).agg(F.sum("n").alias("n")).collect(), key=lambda r: r[part]):
         if cut < r.n:
-            inside = counts.filter(F.col(column).isNull() if r.low is None else F.col(column).between(r.low, r.high) | (F.col(column).isNull() if r.part == sums[0].part else F.lit(False)))
-            run = inside.withColumn("before", F.sum("n").over(Window.orderBy(column)) - F.col("n"))
+            run = counts.filter(F.col(part) == r[part]).withColumn("before", F.sum("n").over(Window.partitionBy(part).orderBy(column)) - F.col("n"))
             at = run.filter((F.col("before") <= cut) & (F.col("before") + F.col("n") > cut)).first()
             return at[column], cut - at["before"]
         cut -= r.n

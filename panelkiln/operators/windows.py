@@ -1,4 +1,8 @@
-"""Time-series features per group. All share the panel's window, so that one exchange and one sort serve them."""
+"""Time-series features per group. All share the panel's window, so that one exchange and one sort serve them.
+
+Where the spec has slice_rows, windows run over slices of large groups with the rows that their frames reach (halo), and
+sums without an end add up slices, so no task holds a group.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,11 @@ from math import floor, log10
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import free
 from ..spec import PanelSpec
+from .order import value_counts
+from .scan import recursive_means
+from .slices import halo, join_group, numbered, running_sum
 
 BASE = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min, "sum": F.sum}
 
@@ -20,6 +28,7 @@ def rolled(c: Column, spec: PanelSpec, n: int, fn: str, min_periods: int = 1, dd
     return out if min_periods <= 1 else F.when(F.count(c).over(w) >= min_periods, out)
 
 
+@halo(before=lambda a: max(a["sizes"]) - 1)
 def rolling(df: DataFrame, spec: PanelSpec, columns: Iterable[str], sizes: Iterable[int] = (3, 7, 14, 28, 56), fns: Iterable[str] = ("mean", "std", "max", "min"), min_periods: int | None = 1, ddof: int = 1, mean_max_only_above: int | None = None) -> DataFrame:
     """{c}_roll_{n}_{fn}. min_periods None: full windows only. mean_max_only_above: larger windows get no std and min."""
     out = {}
@@ -31,11 +40,13 @@ def rolling(df: DataFrame, spec: PanelSpec, columns: Iterable[str], sizes: Itera
     return spec.check(df).select("*", *(v.alias(k) for k, v in out.items()))
 
 
+@halo(before=lambda a: max(a["steps"]))
 def lags(df: DataFrame, spec: PanelSpec, columns: Iterable[str], steps: Iterable[int] = (1, 2, 3, 5, 7, 14, 28)) -> DataFrame:
     """{c}_lag_{k}."""
     return spec.check(df).select("*", *(F.lag(c, k).over(spec.window()).alias(f"{c}_lag_{k}") for c in columns for k in steps))
 
 
+@halo(after=lambda a: max(a["steps"]))
 def leads(df: DataFrame, spec: PanelSpec, column: str, steps: Iterable[int] = (1, 5)) -> DataFrame:
     """{c}_next_{k}, and {c}_up_{k}: 1 if the return until then is positive."""
     out = []
@@ -45,6 +56,7 @@ def leads(df: DataFrame, spec: PanelSpec, column: str, steps: Iterable[int] = (1
     return df.select("*", *out)
 
 
+@halo(before=lambda a: max([*a["steps"], 1]))
 def returns(df: DataFrame, spec: PanelSpec, column: str, steps: Iterable[int] = (1, 5, 10, 20), logs: bool = True) -> DataFrame:
     """{c}_ret_{k} = x / lag - 1; {c}_logret for one step."""
     w = spec.window()
@@ -54,11 +66,13 @@ def returns(df: DataFrame, spec: PanelSpec, column: str, steps: Iterable[int] =
     return df.select("*", *out)
 
 
+@halo(before=lambda a: a["n"] - 1)
 def distances(df: DataFrame, spec: PanelSpec, column: str, n: int) -> DataFrame:
     """x against the mean, maximum and minimum of full windows: {c}_to_{fn}_{n} = x / fn - 1."""
     return df.select("*", *((F.try_divide(F.col(column), rolled(F.col(column), spec, n, fn, n)) - 1).alias(f"{column}_to_{fn}_{n}") for fn in ("mean", "max", "min")))
 
 
+@halo(before=lambda a: a["n"])
 def momentum(df: DataFrame, spec: PanelSpec, column: str, n: int) -> DataFrame:
     """{c}_mom_{n} = x / lag_n - 1 and {c}_vol_{n}: sample deviation of n one-step returns."""
     w = spec.window()
@@ -66,6 +80,7 @@ def momentum(df: DataFrame, spec: PanelSpec, column: str, n: int) -> DataFrame:
     return one.select(*df.columns, (F.try_divide(F.col(column), F.lag(column, n).over(w)) - 1).alias(f"{column}_mom_{n}"), rolled(F.col("_r"), spec, n, "std", n).alias(f"{column}_vol_{n}"))
 
 
+@halo(before=lambda a: a["n"])
 def rsi(df: DataFrame, spec: PanelSpec, column: str, n: int = 14) -> DataFrame:
     """{c}_rsi_{n} = 100 - 100 / (1 + mean gain / mean loss), simple means over full windows; 100 where nothing was lost."""
     d = F.col(column) - F.lag(column, 1).over(spec.window())
@@ -75,25 +90,33 @@ def rsi(df: DataFrame, spec: PanelSpec, column: str, n: int = 14) -> DataFrame:
     return one.withColumn("_gain", gain).withColumn("_loss", loss).select(*df.columns, F.when(F.col("_loss") == 0, F.lit(100.0)).otherwise(100 - F.try_divide(F.lit(100.0), 1 + F.try_divide(F.col("_gain"), F.col("_loss")))).alias(f"{column}_rsi_{n}"))
 
 
+@halo(before=lambda a: a["n"] - 1)
 def bollinger(df: DataFrame, spec: PanelSpec, column: str, n: int = 20, k: float = 2.0) -> DataFrame:
     """{c}_bb_upper, _lower and _width (over the mean), over full windows."""
     mean, std = rolled(F.col(column), spec, n, "mean", n), rolled(F.col(column), spec, n, "std", n)
     return df.select("*", (mean + k * std).alias(f"{column}_bb_upper"), (mean - k * std).alias(f"{column}_bb_lower"), F.try_divide(2 * k * std, mean).alias(f"{column}_bb_width"))
 
 
+@halo(before=lambda a: max(a["sizes"]) - 1)
 def sma(df: DataFrame, spec: PanelSpec, words: Iterable[str] = ("price", "close", "volume"), sizes: Iterable[int] = (5, 10, 20), most: int | None = None) -> DataFrame:
     """{c}_sma_{n} of the columns whose name holds one of the words (only the first `most` where that is given)."""
     names = [c for c in spec.features(df) if any(x in c.lower() for x in words)][:most]
     return df.select("*", *(rolled(F.col(c), spec, n, "mean", n).alias(f"{c}_sma_{n}") for c in names for n in sizes))
 
 
+@halo(before=lambda a: 1)
+def volume_steps(df: DataFrame, spec: PanelSpec, price: str, volume: str) -> DataFrame:
+    """obv_step: volume, signed by the step of price (first row 0)."""
+    d = F.signum(F.col(price) - F.lag(price, 1).over(spec.window()))
+    return df.withColumn("obv_step", F.coalesce(d * F.col(volume), F.lit(0.0)))
+
+
 def on_balance_volume(df: DataFrame, spec: PanelSpec, price: str, volume: str) -> DataFrame:
     """obv: running sum of volume, signed by the step of price (first row 0), and obv_step."""
-    d = F.signum(F.col(price) - F.lag(price, 1).over(spec.window()))
-    one = df.withColumn("obv_step", F.coalesce(d * F.col(volume), F.lit(0.0)))
-    return one.withColumn("obv", F.sum("obv_step").over(spec.window().rowsBetween(Window.unboundedPreceding, 0)))
+    return running_sum(volume_steps(df, spec, price, volume), spec, "obv_step", "obv")
 
 
+@halo(before=lambda a: max(a["n"] - 1, 1))
 def volume_features(df: DataFrame, spec: PanelSpec, volume: str, n: int = 10) -> DataFrame:
     """log_volume, its change from the row before, and the volume over its mean of n rows."""
     v, mean = F.log1p(volume), rolled(F.col(volume), spec, n, "mean", n)
@@ -111,22 +134,20 @@ def _scan(df: DataFrame, spec: PanelSpec, alpha: float, sums: dict[str, tuple[Co
 
     A group is cut into blocks of B rows with q**B about 1e-100: a row takes its block's prefix sum and the end value of
     the block before; what lies further back weighs less than a double can tell. So no group is scanned as a whole
-    beyond its row numbers.
+    beyond its row numbers, and not for those either where the spec has slice_rows.
     """
     q = min(q for _, q in sums.values())
     size = max(1, floor(100 / -log10(q))) if 0 < q < 1 else 1
-    g, keys = spec.group, [spec.group, "_b"]
-    one = df.withColumn("_n", F.row_number().over(spec.window()) - 1)
-    one = one.withColumn("_b", F.floor(F.col("_n") / size)).withColumn("_r", F.col("_n") % size)
-    for k, (value, q) in sums.items():
-        one = one.withColumn(f"_v{k}", F.coalesce(value, F.lit(0.0)) * F.pow(F.lit(q), -F.col("_r")))
-    inside = Window.partitionBy(*keys).orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
-    ends = one.groupBy(*keys).agg(*(F.sum(f"_v{k}").alias(f"_e{k}") for k in sums)).withColumn("_b", F.col("_b") + 1)
-    both = one.select("*", *(F.sum(f"_v{k}").over(inside).alias(f"_s{k}") for k in sums)).withColumn("_g", F.col(g))
-    ends = ends.withColumnRenamed(g, "_eg").withColumnRenamed("_b", "_eb")
-    both = both.join(ends, (F.col("_g").eqNullSafe(F.col("_eg"))) & (F.col("_b") == F.col("_eb")), "left")
-    out = [((F.col(f"_s{k}") + F.coalesce(F.col(f"_e{k}"), F.lit(0.0)) * F.pow(F.lit(q), F.lit(size))) * F.pow(F.lit(q), F.col("_r"))).alias(k) for k, (_, q) in sums.items()]
-    return both.select(*df.columns, "_n", *out)
+    n, b, r, *v = free(df, "row_in_group", "block", "row_in_block", *(f"part_{k}" for k in sums), *(f"end_{k}" for k in sums), *(f"sum_{k}" for k in sums))
+    part, end, inner = (dict(zip(sums, v[i * len(sums) :], strict=False)) for i in range(3))
+    one = numbered(df, spec, n) if spec.slice_rows else df.withColumn(n, F.row_number().over(spec.window()) - 1)
+    one = one.withColumn(b, F.floor(F.col(n) / size)).withColumn(r, F.col(n) % size)
+    one = one.select("*", *((F.coalesce(value, F.lit(0.0)) * F.pow(F.lit(q), -F.col(r))).alias(part[k]) for k, (value, q) in sums.items()))
+    inside = Window.partitionBy(spec.group, b).orderBy(n).rowsBetween(Window.unboundedPreceding, 0)
+    ends = one.groupBy(spec.group, b).agg(*(F.sum(part[k]).alias(end[k]) for k in sums)).withColumn(b, F.col(b) + 1)
+    both = join_group(one.select("*", *(F.sum(part[k]).over(inside).alias(inner[k]) for k in sums)), ends, [spec.group, b], "left")
+    out = [((F.col(inner[k]) + F.coalesce(F.col(end[k]), F.lit(0.0)) * F.pow(F.lit(q), F.lit(size))) * F.pow(F.lit(q), F.col(r))).alias(k) for k, (_, q) in sums.items()]
+    return both.select(*df.columns, *out)
 
 
 def ewm_mean(df: DataFrame, spec: PanelSpec, column: str, span: float, null_output: bool = False) -> DataFrame:
@@ -150,63 +171,64 @@ def ewm_std(df: DataFrame, spec: PanelSpec, column: str, span: float) -> DataFra
     return s.select(*df.columns, F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{column}_ewm_std_{span:g}"))
 
 
-def _ema(df: DataFrame, spec: PanelSpec, column: str, span: float, name: str) -> DataFrame:
-    """Recursive mean: e_0 = x_0, e_i = a * x_i + (1 - a) * e_(i-1)."""
-    a = 2 / (span + 1)
-    first = F.row_number().over(spec.window()) == 1
-    x = F.col(column).cast("double")
-    one = df.withColumn("_in", F.when(first, x).otherwise(a * x))
-    return _scan(one, spec, a, {name: (F.col("_in"), 1 - a)}).select(*df.columns, name)
-
-
 def ema(df: DataFrame, spec: PanelSpec, column: str, span: float) -> DataFrame:
-    """{c}_ema_{span}; a null value counts as 0, so impute before."""
-    return _ema(df, spec, column, span, f"{column}_ema_{span:g}")
+    """{c}_ema_{span}: e_0 = x_0, e_i = a * x_i + (1 - a) * e_(i-1), a = 2 / (span + 1). A missing value carries the mean on, and the
+    next value weighs it less for each missing row (operators.scan)."""
+    return recursive_means(df, spec, {f"{column}_ema_{span:g}": (F.col(column), 2 / (span + 1))})
 
 
 def macd(df: DataFrame, spec: PanelSpec, column: str, fast: float = 12, slow: float = 26, signal: float = 9) -> DataFrame:
     """macd = ema(fast) - ema(slow), its ema as macd_signal, and macd_hist."""
-    first, x = F.row_number().over(spec.window()) == 1, F.col(column).cast("double")
-    # both means in one scan
-    names = {"_fast": 2 / (fast + 1), "_slow": 2 / (slow + 1)}
-    one = df.select("*", *(F.when(first, x).otherwise(a * x).alias(f"_in{k}") for k, a in names.items()))
-    both = _scan(one, spec, max(names.values()), {k: (F.col(f"_in{k}"), 1 - a) for k, a in names.items()}).select(*df.columns, (F.col("_fast") - F.col("_slow")).alias("macd"))
-    return _ema(both, spec, "macd", signal, "macd_signal").withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    f, s = free(df, "fast", "slow")
+    both = recursive_means(df, spec, {f: (F.col(column), 2 / (fast + 1)), s: (F.col(column), 2 / (slow + 1))})
+    both = both.select(*df.columns, (F.col(f) - F.col(s)).alias("macd"))
+    return recursive_means(both, spec, {"macd_signal": (F.col("macd"), 2 / (signal + 1))}).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+
+
+@halo(before=lambda a: 1)
+def _volume_delta(df: DataFrame, spec: PanelSpec, volume: str) -> DataFrame:
+    return df.withColumn("volume_delta", F.col(volume) - F.lag(volume, 1).over(spec.window()))
 
 
 def technical(df: DataFrame, spec: PanelSpec, close: str, volume: str) -> DataFrame:
     """RSI 14 (simple means), volume step, EMA 12 and 26, MACD per group."""
-    step = df.withColumn("volume_delta", F.col(volume) - F.lag(volume, 1).over(spec.window()))
-    return macd(ema(ema(rsi(step, spec, close), spec, close, 12), spec, close, 26), spec, close)
+    step = rsi(_volume_delta(df, spec, volume), spec, close)
+    means = recursive_means(step, spec, {f"{close}_ema_{n}": (F.col(close), 2 / (n + 1)) for n in (12, 26)})
+    return macd(means, spec, close)
 
 
-def average_rank(df: DataFrame, column: str, within: str | None = None, ranges: int = 64) -> DataFrame:
+def average_rank(df: DataFrame, column: str, within: str | None = None, most: int = 100_000) -> DataFrame:
     """rank_{c}: rank with ties averaged, over the whole table or within a column's groups; null for null.
 
-    Over the whole table only the distinct values are ordered, range by range: no window holds more than one range.
+    Over the whole table only the distinct values are ordered, range by range (operators.order): a window holds one range
+    of about `most` values, or one row for each range.
     """
     name = f"rank_{column}"
     if within:
         w = Window.partitionBy(within)
         ties = Window.partitionBy(within, column)
         return df.withColumn(name, F.when(F.col(column).isNotNull(), F.rank().over(w.orderBy(F.col(column).asc_nulls_last())) + (F.count("*").over(ties) - 1) / 2))
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_c"))
-    cuts = sorted(set(df.approxQuantile(column, [i / ranges for i in range(1, ranges)], 0.01)))
-    counts = counts.withColumn("_p", F.size(F.filter(F.array(*(F.lit(float(x)) for x in cuts)) if cuts else F.array().cast("array<double>"), lambda x: x < F.col(column))))
-    before = counts.groupBy("_p").agg(F.sum("_c").alias("_t"))  # ranges rows at most
-    offset = before.select("_p", (F.sum("_t").over(Window.orderBy("_p")) - F.col("_t")).alias("_o"))
-    run = F.sum("_c").over(Window.partitionBy("_p").orderBy(column))
-    ranked = counts.join(F.broadcast(offset), "_p").select(F.col(column).alias("_v"), (F.col("_o") + run - F.col("_c") + (F.col("_c") + 1) / 2).alias(name))
-    return df.join(ranked, F.col(column) == F.col("_v"), "left").drop("_v")
+    counts, part = value_counts(df.filter(F.col(column).isNotNull()), column, most)
+    before = counts.groupBy(part).agg(F.sum("n").alias("t"))
+    offset = before.select(part, (F.sum("t").over(Window.orderBy(part)) - F.col("t")).alias("o"))
+    run = F.sum("n").over(Window.partitionBy(part).orderBy(column))
+    (v,) = free(df, "ranked_value")
+    ranked = counts.join(F.broadcast(offset), part).select(F.col(column).alias(v), (F.col("o") + run - F.col("n") + (F.col("n") + 1) / 2).alias(name))
+    return df.join(ranked, F.col(column) == F.col(v), "left").drop(v)
+
+
+@halo(before=lambda a: max([*(n - 1 for n in a["sizes"]), *a["steps"], 0]))
+def rolling_and_lags(df: DataFrame, spec: PanelSpec, columns: Iterable[str], sizes: Iterable[int], steps: Iterable[int]) -> DataFrame:
+    """Rolling and lag features in one select."""
+    w, columns = spec.window(), list(columns)
+    out = [rolled(F.col(c), spec, n, fn).alias(f"{c}_roll_{n}_{fn}") for c in columns for n in sizes for fn in ("mean", "std", "max", "min")]
+    return spec.check(df).select("*", *out, *(F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for c in columns for k in steps))
 
 
 def generate(df: DataFrame, spec: PanelSpec, columns: Iterable[str], sizes: Iterable[int], steps: Iterable[int], spans: Iterable[float] = ()) -> DataFrame:
     """Rolling and lag features in one select, then exponentially weighted means."""
     columns = list(columns)
-    w = spec.window()
-    out = [rolled(F.col(c), spec, n, fn).alias(f"{c}_roll_{n}_{fn}") for c in columns for n in sizes for fn in ("mean", "std", "max", "min")]
-    out += [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for c in columns for k in steps]
-    df = spec.check(df).select("*", *out)
+    df = rolling_and_lags(df, spec, columns, sizes, steps)
     for c in columns:
         for s in spans:
             df = ewm_mean(df, spec, c, s)
