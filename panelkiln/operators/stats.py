@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import gram
 from .clean import value
 
 
@@ -51,21 +50,13 @@ def target_correlations(df: DataFrame, columns: list[str], target: str) -> DataF
     return _rows(df.agg(*(F.abs(safe_corr(value(F.col(c).cast("double")), t)).alias(f"corr{i}") for i, c in enumerate(columns))), {"corr": []}, columns)
 
 
-def correlation_matrix(df: DataFrame, columns: list[str], pairs: int = 200):
-    """Full correlation matrix as a numpy array, each pair over the rows where both are present (NaN where one is
-    constant there). Without missing values the matrix is one pass; else each `pairs` pairs are."""
+def correlation_matrix(df: DataFrame, columns: list[str]):
+    """Full correlation matrix as a numpy array, each pair over the rows where both are present, in one pass (operators.gram); NaN
+    where a side is constant there, 1 on the diagonal."""
     import numpy as np
 
-    x = [value(F.col(c).cast("double")) for c in columns]
-    gaps = df.agg(*(F.count(F.when(c.isNull(), 1)).alias(f"n{i}") for i, c in enumerate(x))).first() if columns else ()
-    if columns and not any(gaps):
-        v = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.select(columns)).select("_v")
-        return Correlation.corr(v, "_v").first()[0].toArray()
-    out, todo = np.eye(len(columns)), [(i, j) for i in range(len(columns)) for j in range(i)]
-    for at in range(0, len(todo), pairs):
-        part = todo[at : at + pairs]
-        for (i, j), r in zip(part, df.agg(*(safe_corr(x[i], x[j]).alias(f"r{k}") for k, (i, j) in enumerate(part))).first(), strict=True):
-            out[i, j] = out[j, i] = np.nan if r is None else r
+    out = gram.correlation_matrix(df, columns)
+    np.fill_diagonal(out, 1.0)
     return out
 
 
