@@ -6,6 +6,10 @@ from collections.abc import Callable
 from typing import Protocol
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.slices import join_group
+from ..shared import free, settle
 
 
 class FeatureRegistry:
@@ -48,5 +52,29 @@ def fit_predict(model: Model, train: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def map_groups(df: DataFrame, group: str, fn: Callable, schema: str) -> DataFrame:
-    """fn on each group as a pandas frame; a group must fit into one task's memory."""
+    """fn on each group as a pandas frame; a group must fit into one task's memory (else: map_groups_in_parts)."""
     return df.groupBy(group).applyInPandas(fn, schema)
+
+
+def map_groups_in_parts(df: DataFrame, group: str, partial: Callable, merge: Callable, partial_schema: str, finish: Callable | None = None, schema: str | None = None, rows: int = 100_000, fan: int = 1_000) -> DataFrame:
+    """A user's function over groups of any size, in two phases.
+
+    partial: from a pandas frame of at most about `rows` rows of one group to a small frame; merge: from at most about
+    `fan` such frames of one group, end to end, to one such frame, in any order and nesting; finish: from the merged
+    frame to the result. Rows of a large group are dealt to parts by a hash of their place, so equal rows part too, and
+    partial results are merged in as many levels as fan asks for.
+
+    Defined results: a null group is a group. An empty table gives no rows.
+    """
+    n, part = free(df, "n_rows", "part")
+    large = settle(df.groupBy(group).agg(F.count("*").alias(n)).filter(F.col(n) > rows), "large-groups")
+    parts = F.coalesce(F.ceil(F.col(n) / rows), F.lit(1))
+    dealt = join_group(df, large, [group], "left").withColumn(part, F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts)).drop(n)
+    made = dealt.groupBy(group, part).applyInPandas(lambda key, pdf: partial(pdf.drop(columns=part)).assign(**{part: key[1]}), f"{partial_schema}, {part} long")
+    most = -(-(large.agg(F.max(n)).first()[0] or 1) // rows)
+    while most > fan:
+        most = -(-most // fan)
+        made = made.withColumn(part, F.pmod(F.col(part), F.lit(most)))
+        made = made.groupBy(group, part).applyInPandas(lambda key, pdf: merge(pdf.drop(columns=part)).assign(**{part: key[1]}), f"{partial_schema}, {part} long")
+    last = lambda pdf: (finish or (lambda x: x))(merge(pdf.drop(columns=part)))
+    return made.groupBy(group).applyInPandas(last, schema or partial_schema)

@@ -2,48 +2,51 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shared import settle
+from ..sources.batches import Batches
+
 FILES = "file_id string, path string, source string, snapshot_date string"
-FEATURES = "feature string, source string, data_type string, file_id string, snapshot_date string"
+FEATURES = "feature string, source string, data_type string, file_id string, snapshot_date string, n_values long"
 ESSENTIAL = {"alternative": ("symbol", "date"), "targets": ("id", "target", "data_type")}
 
 
 class FeatureBook:
-    """Registered files and features as Parquet tables; registering twice changes nothing."""
+    """Registered files and features in committed batches: registering twice changes nothing, also from two writers at once, and a
+    registration that died half-way is not seen."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        for name, schema in (("files", FILES), ("features", FEATURES)):
-            spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.path}/{name}")
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        self.spark = spark
+        self._files, self._features = Batches(spark, f"{path.rstrip('/')}/files", FILES), Batches(spark, f"{path.rstrip('/')}/features", FEATURES)
 
     def files(self) -> DataFrame:
-        return self._read("files", FILES)
+        return self._files.read().drop("batch")
 
     def features(self) -> DataFrame:
-        return self._read("features", FEATURES)
-
-    def _insert(self, name: str, rows: DataFrame, schema: str, keys: list[str]) -> None:
-        new = rows.join(self._read(name, schema), keys, "left_anti").select(*(f.split()[0] for f in schema.split(", ")))
-        new.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+        """One row for each feature of each file."""
+        keys = ["feature", "source", "file_id"]
+        return self._features.read().groupBy(*keys).agg(F.min("data_type").alias("data_type"), F.min("snapshot_date").alias("snapshot_date"), F.max("n_values").alias("n_values"))
 
     def register_file(self, path: str, source: str, snapshot_date: str) -> str:
         """The file's id: a hash of its source, path and date."""
-        from hashlib import sha256
-
         key = sha256(f"{source}\n{path}\n{snapshot_date}".encode()).hexdigest()
-        self._insert("files", self.spark.createDataFrame([(key, path, source, snapshot_date)], FILES), FILES, ["file_id"])
+        self._files.commit(key, self.spark.createDataFrame([(key, path, source, snapshot_date)], FILES))
         return key
 
     def register_features(self, file_id: str, df: DataFrame, source: str, snapshot_date: str) -> None:
-        rows = [(f.name, source, f.dataType.simpleString(), file_id, snapshot_date) for f in df.schema]
-        self._insert("features", self.spark.createDataFrame(rows, FEATURES), FEATURES, ["feature", "source", "file_id"])
+        """The columns of df with their types and numbers of values (null and NaN are none), in one pass over df."""
+        known = sha256(f"{file_id}\n{sorted(df.dtypes)}".encode()).hexdigest()
+        if self._features.has(known):
+            return
+        present = [F.count(F.when(F.col(c).isNotNull() & (~F.isnan(c) if t in ("double", "float") else F.lit(True)), 1)).alias(f"n{i}") for i, (c, t) in enumerate((f"`{c}`", t) for c, t in df.dtypes)]
+        rows = F.array(*(F.struct(F.lit(c).alias("feature"), F.lit(source).alias("source"), F.lit(t).alias("data_type"), F.lit(file_id).alias("file_id"), F.lit(snapshot_date).alias("snapshot_date"), F.col(f"n{i}").alias("n_values")) for i, (c, t) in enumerate(df.dtypes)))
+        self._features.commit(known, df.agg(*present).select(F.explode(rows).alias("r")).select("r.*"))
 
     def new_columns(self, df: DataFrame, source: str) -> list[str]:
         """Essential columns and those no file of the source had; all for its first file."""
@@ -54,10 +57,12 @@ class FeatureBook:
         return df.select(self.new_columns(df, source))
 
     def counts(self) -> DataFrame:
-        return self.features().groupBy("source").agg(F.count_distinct("feature").alias("n_features"))
+        """(source, n_features, n_values): features registered, and values of all of them."""
+        return self.features().groupBy("source").agg(F.count_distinct("feature").alias("n_features"), F.sum("n_values").alias("n_values"))
 
     def seen(self) -> DataFrame:
-        return self.features().groupBy("source", "feature").agg(F.min("snapshot_date").alias("first_seen"), F.max("snapshot_date").alias("last_seen"), F.count("*").alias("n_files"))
+        """(source, feature, first_seen, last_seen, n_files, n_values): snapshots in which the feature has values."""
+        return self.features().filter("n_values > 0").groupBy("source", "feature").agg(F.min("snapshot_date").alias("first_seen"), F.max("snapshot_date").alias("last_seen"), F.count("*").alias("n_files"), F.sum("n_values").alias("n_values"))
 
 
 def melt(df: DataFrame, entity: str, time: str, columns: Iterable[str]) -> DataFrame:
@@ -74,6 +79,62 @@ def validity_history(values: DataFrame, tiebreak: tuple[str, ...] = ()) -> DataF
     return kept.select("entity", "feature", "value", "valid_from", F.lead("valid_from").over(w).alias("valid_to"))
 
 
+RECORDS = "entity string, feature string, value string, valid_from timestamp, valid_to timestamp, bucket int, is_open boolean"
+
+
+class ValidityStore:
+    """A validity history kept up snapshot by snapshot.
+
+    Open records are the state, dealt into buckets of (entity, feature). A snapshot reads the newest state of the buckets
+    that it touches, and commits as one batch: the records that it closes, and the new state of those buckets. Nothing
+    is rewritten in place: the state of a bucket is that of the last batch that touched it. A snapshot committed twice
+    changes nothing, and one that died half-way is not seen. One writer at a time.
+
+    Defined results: those of validity_history over all snapshots at once. A snapshot may hold many values of a key; none
+    may be as old as the record that is open for its key, unless it repeats that record (ValueError).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.buckets = spark, buckets
+        self.batches = Batches(spark, path, RECORDS)
+        self.order = Batches(spark, f"{path.rstrip('/')}/order", "seq long, snapshot string, records string, buckets array<int>")
+
+    def _taken(self) -> list:
+        """Snapshots in the order in which they were taken in: one row each."""
+        return sorted(self.order.read().collect(), key=lambda r: r.seq)
+
+    def _state(self, touched: list[int]) -> DataFrame:
+        latest = {b: r.records for r in self._taken() for b in set(r.buckets) & set(touched)}
+        rows = self.batches.read(sorted(set(latest.values()))).filter("is_open")
+        names = self.spark.createDataFrame([(b, s) for b, s in latest.items()] or [], "bucket int, batch string")
+        return rows.join(F.broadcast(names), ["bucket", "batch"], "left_semi").drop("batch")  # one row a bucket
+
+    def apply(self, snapshot: str, values: DataFrame) -> bool:
+        """Takes (entity, feature, value, valid_from) in; False if the snapshot is in already."""
+        if self.order.has(snapshot):
+            return False
+        bucket = F.pmod(F.xxhash64("entity", "feature"), F.lit(self.buckets)).cast("int").alias("bucket")
+        new = settle(values.select(F.col("entity").cast("string").alias("entity"), "feature", F.col("value").cast("string").alias("value"), F.col("valid_from").cast("timestamp").alias("valid_from"), bucket), "snapshot")
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]
+        state = self._state(touched).select("entity", "feature", "value", "valid_from", "bucket", F.lit(True).alias("known"))
+        both = state.unionByName(new.withColumn("known", F.lit(False)))
+        of_key = Window.partitionBy("entity", "feature")
+        begins = F.max(F.when(F.col("known"), F.struct("valid_from", "value"))).over(of_key)
+        late = both.select("known", "valid_from", "value", begins.alias("open")).filter(~F.col("known") & (F.col("valid_from") <= F.col("open.valid_from")) & ~((F.col("valid_from") == F.col("open.valid_from")) & F.col("value").eqNullSafe(F.col("open.value"))))
+        if not late.isEmpty():
+            raise ValueError("a snapshot's values must be newer than the records that they close")
+        made = validity_history(both.drop("known"), ("value",)).withColumn("bucket", bucket).withColumn("is_open", F.col("valid_to").isNull())
+        # the records count once the snapshot's row is in
+        records, seq = f"{snapshot}-{uuid.uuid4().hex}", 1 + max((r.seq for r in self._taken()), default=0)
+        self.batches.commit(records, made)
+        return self.order.commit(snapshot, self.spark.createDataFrame([(seq, snapshot, records, touched)], self.order.schema))
+
+    def history(self) -> DataFrame:
+        """(entity, feature, value, valid_from, valid_to): all closed records, and the open ones."""
+        closed = self.batches.read([r.records for r in self._taken()]).filter("not is_open").drop("batch")
+        return closed.unionByName(self._state(list(range(self.buckets)))).drop("bucket", "is_open")
+
+
 def as_of(history: DataFrame, when, columns: Iterable[str] | None = None) -> DataFrame:
     """One row per entity with the values valid at `when`; columns lists the features to pivot (else they are looked up)."""
     t = F.lit(when).cast(history.schema["valid_from"].dataType)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -12,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import settle
 from . import ensemble
 from .clean import align_to_model
 
@@ -24,22 +26,78 @@ PRESETS = {
 FOREST = {"deep": {"maxDepth": 12, "numTrees": 100}, "balanced": {"maxDepth": 10, "numTrees": 50}, "fast": {"maxDepth": 8, "numTrees": 20}}
 
 
-def estimator(kind: str, preset: str = "fast", label: str = "target", validation: str | None = None, **params):
-    """gbt, forest or classifier. validation: a boolean column of rows to stop early on."""
+#: Loss of the validation error, and the model's class of the JVM.
+LOSSES = {"gbt": ("squared", "regression.GBTRegressionModel"), "classifier": ("logistic", "classification.GBTClassificationModel")}
+
+
+def estimator(kind: str, preset: str = "fast", label: str = "target", **params):
+    """gbt, forest or classifier."""
     common = {"featuresCol": "_features", "labelCol": label, "seed": 42}
-    stop = {"validationIndicatorCol": validation, "validationTol": 1e-4} if validation and kind != "forest" else {}
     if kind == "forest":
         return RandomForestRegressor(**common, **(FOREST[preset] | params))
-    return {"gbt": GBTRegressor, "classifier": GBTClassifier}[kind](**common, **stop, **(PRESETS[preset] | params))
-
-
-def fit(df: DataFrame, features: list[str], kind: str = "gbt", preset: str = "fast", label: str = "target", scale: bool = False, validation: str | None = None, **params) -> PipelineModel:
-    """A pipeline that assembles (and standardises) the features and fits; missing features are 0, rows without a label are left out."""
-    df = align_to_model(df, [c for c in df.columns if c not in features], features)
+    return {"gbt": GBTRegressor, "classifier": GBTClassifier}[kind](**common, **(PRESETS[preset] | params))
+
+
+def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
+    """(rounds to keep, whether training would have ended): the last round that improved before `patience` rounds did not."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _cut(model, kind: str, rounds: int):
+    """The first trees of a boosted model."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    trees, weights = java.trees(), java.treeWeights()
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    own = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], own[i] = trees[i], weights[i]
+    of = gateway.jvm.org.apache.spark.ml
+    for part in LOSSES[kind][1].split("."):
+        of = getattr(of, part)
+    more = [model.numClasses] if kind == "classifier" else []
+    return model._copyValues(type(model)(of(java.uid(), kept, own, model.numFeatures, *more)))
+
+
+def boost_with_patience(train: DataFrame, held: DataFrame, kind: str, preset: str = "fast", label: str = "target", patience: int = 50, **params):
+    """(model, errors): a boosted model cut at the round with the least error on held, and the error after every round.
+
+    Training ends where `patience` rounds have not improved on the best one. It runs in stages of doubling length: the
+    trees of a stage begin with those of the stage before (one seed, one order of rows), so the rounds kept are those
+    that one run with a look at held after every tree would keep, at no more than twice its trees.
+    """
+    most = (PRESETS[preset] | params)["maxIter"]
+    rounds = min(most, 2 * patience)
+    while True:
+        model = estimator(kind, preset, label, **(params | {"maxIter": rounds})).fit(train)
+        errors = model.evaluateEachIteration(held, LOSSES[kind][0]) if kind == "gbt" else model.evaluateEachIteration(held)
+        kept, ended = best_round(errors, patience)
+        if ended or rounds == most:
+            return _cut(model, kind, kept), errors
+        rounds = min(most, 2 * rounds)
+
+
+def fit(df: DataFrame, features: list[str], kind: str = "gbt", preset: str = "fast", label: str = "target", scale: bool = False, validation: str | None = None, patience: int = 50, **params) -> PipelineModel:
+    """A pipeline that assembles (and standardises) the features and fits; missing features are 0, rows without a label are left out.
+
+    validation: a boolean column; a boosted model is then trained on the other rows, and on those its rounds are chosen.
+    """
+    df = align_to_model(df, [c for c in df.columns if c not in features], features).filter(F.col(label).isNotNull())
     made = "_raw" if scale else "_features"
     stages = [VectorAssembler(inputCols=features, outputCol=made, handleInvalid="keep")]
     stages += [StandardScaler(inputCol="_raw", outputCol="_features", withMean=True)] if scale else []
-    return Pipeline(stages=[*stages, estimator(kind, preset, label, validation, **params)]).fit(df.filter(F.col(label).isNotNull()))
+    if validation is None or kind == "forest":
+        return Pipeline(stages=[*stages, estimator(kind, preset, label, **params)]).fit(df)
+    ready = Pipeline(stages=stages).fit(df.filter(~F.col(validation)))
+    # every round reads the rows again
+    rows = settle(ready.transform(df).select("_features", label, F.col(validation).alias("_held")), "training")
+    model, _ = boost_with_patience(rows.filter("not _held"), rows.filter("_held"), kind, preset, label, patience, **params)
+    return PipelineModel([*ready.stages, model])
 
 
 class MeanModel:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.batches import Batches
+
 RELATIONS = {
     "runs": "run_id string, round long, timestamp timestamp, status string, metrics string",
     "models": "model_id string, run_id string, model_type string, timestamp timestamp, metrics string, parameters string",
@@ -16,26 +20,32 @@ KEYS = {"runs": ["run_id"], "models": ["model_id"], "features": ["run_id", "time
 
 
 class RunStore:
-    """Reads and appends the five relations under a path; rows carry a version, the highest of a key counts."""
+    """Reads and appends the five relations under a path; rows carry a version, the highest of a key counts.
+
+    Each append is a batch that counts once: repeating it under its name changes nothing, and rows of an append that died
+    half-way are not read.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        for name, schema in RELATIONS.items():
-            spark.createDataFrame([], schema + ", version long").write.mode("ignore").parquet(f"{self.path}/{name}")
+        self.spark = spark
+        self._of = {name: Batches(spark, f"{path.rstrip('/')}/{name}", schema + ", version long") for name, schema in RELATIONS.items()}
 
-    def append(self, name: str, rows: DataFrame | list, version: int) -> None:
+    def append(self, name: str, rows: DataFrame | list, version: int, batch: str | None = None) -> bool:
+        """False if the batch is in already; without a name every append is a batch of its own."""
         df = rows if isinstance(rows, DataFrame) else self.spark.createDataFrame(rows, RELATIONS[name])
-        df.select(*(f.split()[0] for f in RELATIONS[name].split(", "))).withColumn("version", F.lit(version).cast("long")).write.mode("append").parquet(f"{self.path}/{name}")
+        return self._of[name].commit(batch or uuid.uuid4().hex, df.withColumn("version", F.lit(version).cast("long")))
 
-    def append_model(self, row: tuple, importance: dict[str, float], version: int) -> None:
-        self.append("models", [row], version)
+    def append_model(self, row: tuple, importance: dict[str, float], version: int, batch: str | None = None) -> None:
+        """A model and its importances; where the first was committed and the second not, a replay adds the second."""
         df = self.spark.createDataFrame([(row[0], importance)], "model_id string, m map<string,double>")
-        self.append("feature_importance", df.select("model_id", F.explode("m").alias("feature_name", "importance")), version)
+        self.append("models", [row], version, batch)
+        self.append("feature_importance", df.select("model_id", F.explode("m").alias("feature_name", "importance")), version, batch)
 
     def read(self, name: str) -> DataFrame:
-        df = self.spark.read.schema(RELATIONS[name] + ", version long").parquet(f"{self.path}/{name}")
-        w = Window.partitionBy(*KEYS[name]).orderBy(F.col("version").desc())
-        return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "version")
+        df = self._of[name].read().drop("batch")
+        rest = [c for c in df.columns if c not in KEYS[name]]
+        # the highest version of a key, combined map-side; of equal versions the largest row
+        return df.groupBy(*KEYS[name]).agg(F.max(F.struct("version", *(c for c in rest if c != "version"))).alias("r")).select(*(c if c in KEYS[name] else f"r.{c}" for c in df.columns if c != "version"))
 
 
 def list_rows(df: DataFrame, limit: int, offset: int = 0, **equal) -> DataFrame:

@@ -63,12 +63,12 @@ def sidecar(t: Tables):
     return t.spark.read.schema("n_rows long, n_symbols long").json(at)
 
 
-@query("select o_orderkey, strftime(o_orderdate, '%Y')::int as snapshot_date from orders where o_orderdate < '1994-01-01'")
+@query("select o_orderkey, strftime(o_orderdate, '%Y')::int as snapshot_date from orders where o_orderdate < '1997-01-01'")
 def landing_written(t: Tables):
     at = folder(t, "landing")
-    for year in (1992, 1993, 1994):
+    for year in (1995, 1996, 1997):
         io.write_landing(t.orders.filter(F.year("o_orderdate") == year).select("o_orderkey"), at, f"{year}1231")
-    return io.read_landing(t.spark, at, "19931231").withColumn("snapshot_date", F.floor(F.col("snapshot_date") / 10000).cast("int"))
+    return io.read_landing(t.spark, at, "19961231").withColumn("snapshot_date", F.floor(F.col("snapshot_date") / 10000).cast("int"))
 
 
 # keys and roles
@@ -155,9 +155,14 @@ def ranked_features(t: Tables):
     return t.spark.createDataFrame([(c,) for c in selection.top_ranked(NUM, order, 2)], "feature string")
 
 
-@query("select feature from (select unnest([" + ", ".join(f"'{c}'" for c in NUM) + "]) as feature) order by sha256('42:' || feature) limit 3")
+_VARY = {**{c: c for c in NUM}, **{f"{c}_rest": f"{c} - floor({c})" for c in NUM}}
+
+
+@query("select feature from (" + " union all ".join(f"select '{n}' as feature, var_samp({e}) as v from lineitem" for n, e in _VARY.items()) + ") where v > 0 order by sha256('42:' || feature) limit 3")
 def hashed_features(t: Tables):
-    return t.spark.createDataFrame([(c,) for c in selection.hash_cut([c for c in t.lineitem.columns if c in NUM], 3)], "feature string")
+    """Of the columns and their fractions, those that vary (the fraction of whole numbers does not), cut by a hash."""
+    df = t.lineitem.select(*NUM, *((F.col(c) - F.floor(c)).alias(f"{c}_rest") for c in NUM))
+    return t.spark.createDataFrame([(c,) for c in selection.hash_cut(selection.zero_variance(df, df.columns), 3)], "feature string")
 
 
 _BY = "(" + " union all ".join(f"select '{c}' as feature, abs(corr({c}, l_extendedprice)) as r from lineitem" for c in ("l_quantity", "l_discount", "l_tax")) + ")"
@@ -188,29 +193,39 @@ def generation_step(t: Tables):
 # feature tracking
 
 
+#: Feature, its value, and a third column that only dear orders of the later years have.
+_TRACKED = {"symbol": "o_custkey", "date": "o_orderdate", "o_totalprice": "o_totalprice", "dear": "case when year(o_orderdate) > 1995 and o_totalprice > 300000 then o_totalprice end"}
+_YEARS = (1995, 1996, 1997)
+
+
 def _book(t: Tables):
     book = history.FeatureBook(t.spark, folder(t, "book"))
-    day1, day2 = t.orders.select(F.col("o_custkey").alias("symbol"), F.col("o_orderdate").alias("date"), "o_totalprice"), t.orders.select(F.col("o_custkey").alias("symbol"), F.col("o_orderdate").alias("date"), "o_totalprice", "o_orderkey", "o_orderstatus")
-    for day, df in (("20250101", day1), ("20250102", day2), ("20250102", day2)):  # the last one changes nothing
-        book.register_features(book.register_file(f"orders-{day}", "alternative", day), df, "alternative", day)
-    return book, day2
+    df = t.orders.select(*(F.expr(e).alias(n) for n, e in _TRACKED.items()))
+    for year in (*_YEARS, _YEARS[-1]):  # the last one changes nothing
+        own = df.filter(F.year("date") == year).drop(*(["dear"] if year == _YEARS[0] else []))
+        book.register_features(book.register_file(f"orders-{year}", "alternative", str(year)), own, "alternative", str(year))
+    return book
+
+
+_SEEN = " union all ".join(f"select '{n}' as feature, year(o_orderdate)::varchar as y, count({e}) as n_values from orders where year(o_orderdate) in {_YEARS if n != 'dear' else _YEARS[1:]} group by 2" for n, e in _TRACKED.items())
 
 
-@query("select 'alternative' as source, 2::bigint as n_files, 5::bigint as n_features from (select count(*) as n from orders) where n > 0")
+@query(f"select 'alternative' as source, count(distinct y) as n_files, count(distinct feature) as n_features, sum(n_values)::bigint as n_values from ({_SEEN})")
 def feature_book_counts(t: Tables):
-    book, _ = _book(t)
-    return book.counts().join(book.files().groupBy("source").agg(F.count("*").alias("n_files")), "source").select("source", "n_files", "n_features")
+    book = _book(t)
+    return book.counts().join(book.files().groupBy("source").agg(F.count("*").alias("n_files")), "source").select("source", "n_files", "n_features", "n_values")
 
 
-@query("select unnest(['symbol', 'date', 'o_totalprice', 'o_orderkey', 'o_orderstatus']) as feature, unnest(['20250101', '20250101', '20250101', '20250102', '20250102']) as first_seen, '20250102' as last_seen, unnest([2, 2, 2, 1, 1])::bigint as n_files from (select count(*) as n from orders) where n > 0")
+@query(f"select feature, min(y) as first_seen, max(y) as last_seen, count(*) as n_files, sum(n_values)::bigint as n_values from ({_SEEN}) where n_values > 0 group by 1")
 def features_seen(t: Tables):
-    return _book(t)[0].seen().drop("source")
+    """Snapshots in which each column has values."""
+    return _book(t).seen().drop("source")
 
 
 @query("select o_custkey as symbol, o_orderdate as date, o_orderpriority from orders")
 def only_new_features(t: Tables):
-    book, day2 = _book(t)
-    return book.only_new(day2.join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey"), "alternative")
+    day2 = t.orders.select(F.col("o_custkey").alias("symbol"), F.col("o_orderdate").alias("date"), "o_totalprice", "o_orderpriority")
+    return _book(t).only_new(day2, "alternative")
 
 
 # run relations

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rowmath
 from ..operators import history, spectral, windows
+from ..shared import folder
 from .define import BAR, BARS, NULLS, ORDERS, PANEL, Tables, W, frame, query, rounded
 
 K = ["o_custkey", "o_orderdate", "o_orderkey"]
@@ -272,6 +273,19 @@ def value_history(t: Tables):
     return history.value_history(_history(t), 7, "click")
 
 
+@query("""with v as (select user_id::varchar as entity, event_type as feature, round(value)::bigint::varchar as value, ts as valid_from from events),
+p as (select *, lag(value) over w as prev, row_number() over w as n from v window w as (partition by entity, feature order by valid_from, value))
+select entity, feature, value, valid_from, lead(valid_from) over (partition by entity, feature order by valid_from, value) as valid_to from p where n = 1 or value is distinct from prev""")
+def history_in_snapshots(t: Tables):
+    """The history of all events, kept up over four snapshots of which the last repeats the third."""
+    store = history.ValidityStore(t.spark, folder(t.spark, "validity"), buckets=16)
+    v = t.events.select(F.col("user_id").alias("entity"), F.col("event_type").alias("feature"), F.round("value").cast("long").cast("string").alias("value"), F.col("ts").alias("valid_from"))
+    cuts = ["1900-01-01", "2024-01-10", "2024-01-20", "2999-01-01"]
+    for a, b in [*zip(cuts, cuts[1:], strict=False), ("2024-01-20", "2999-01-01")]:
+        store.apply(f"until {b}", v.filter((F.col("valid_from") >= F.lit(a).cast("timestamp")) & (F.col("valid_from") < F.lit(b).cast("timestamp"))))
+    return store.history()
+
+
 @query("select o_custkey as entity, o_orderdate as valid_from, 'o_totalprice' as feature, o_totalprice::varchar as value from orders where false union all select o_custkey, o_orderdate, 'o_orderkey', o_orderkey::varchar from orders union all select o_custkey, o_orderdate, 'o_orderstatus', o_orderstatus from orders")
 def melt_orders(t: Tables):
     return history.melt(t.orders, "o_custkey", "o_orderdate", ["o_orderkey", "o_orderstatus"])

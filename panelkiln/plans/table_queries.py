@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
+from functools import reduce
+from itertools import combinations_with_replacement
+from operator import mul
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..functions import custom
 from ..operators import clean, ensemble, joins, modeling, run_metrics, selection, split, stats
 from ..sources import io
+from ..sources.column_groups import ColumnGroups
 from ..spec import PanelSpec
 from .define import NULLS, ORDERS, PANEL, Tables, query, rounded
 from .panel_queries import LK, NUM
@@ -17,15 +22,8 @@ L4 = ", ".join(LK)
 
 
 def folder(t: Tables, name: str) -> str:
-    """A folder all executors share, for queries that write and read again; a temporary one in local mode only."""
-    import uuid
-
-    context = t.spark.sparkContext
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getConf().get("spark.sql.warehouse.dir")
-    if not base and not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = base or tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/panelkiln/{name}-{uuid.uuid4().hex}"
+    """A folder all executors share, for queries that write and read again."""
+    return shared.folder(t.spark, name)
 
 
 # cleaning
@@ -153,9 +151,10 @@ def overlap_symbols(t: Tables):
     return joins.symbol_overlap(t.customer.select(F.col("c_custkey").alias("symbol")), t.orders.select(F.col("o_custkey").alias("symbol")))
 
 
-@query("select distinct c_custkey as symbol from customer where c_custkey not in (select o_custkey from orders)")
+@query("select distinct c_custkey as symbol from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 300000)")
 def missing_symbols(t: Tables):
-    return joins.missing_symbols(t.customer.select(F.col("c_custkey").alias("symbol")), t.orders.select(F.col("o_custkey").alias("symbol")))
+    live = t.orders.filter("o_totalprice > 300000").select(F.col("o_custkey").alias("symbol"))
+    return joins.missing_symbols(t.customer.select(F.col("c_custkey").alias("symbol")), live)
 
 
 # statistics
@@ -251,13 +250,49 @@ def select_chain(t: Tables):
     return t.spark.createDataFrame([(c,) for c in selection.select_chain(_wide(t), [*NUM, "twice", "constant"], 3)], "feature string")
 
 
-# three columns make three sums, three products and three squares: 12, of which 30 % go; the next round fills up to 12 again
-@query("select i::bigint as iteration, 12::bigint as generated, 9::bigint as kept from (select unnest([0, 1]) as i from (select count(*) as n from lineitem) where n > 0)")
+_BASE = ["l_quantity", "l_discount", "l_tax"]
+_MADE = [(f"{a}_{k}_{b}", f"{a} {op} {b}") for i, a in enumerate(_BASE) for b in _BASE[i + 1 :] for k, op in (("add", "+"), ("mul", "*"))] + [(f"{c}_square", f"{c} * {c}") for c in _BASE]
+
+
+def _scores(items) -> str:
+    return " union all ".join(f"select {i} as i, '{n}' as feature, abs(corr({e}, l_extendedprice)) as r from lineitem" for i, (n, e) in enumerate(items))
+
+
+# three columns make three sums, three products and three squares: 12, of which 30 % go
+@query(f"select feature, 12::bigint as generated from ({_scores([(c, c) for c in _BASE] + _MADE)}) order by r desc, feature limit 9")
 def evolve_lineitem(t: Tables):
     spec = PanelSpec("l_partkey", "l_shipdate", ("l_orderkey", "l_linenumber", "l_suppkey"), target="l_extendedprice")
     df = t.lineitem.select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", *NUM)
-    _, _, history = selection.evolve(df, spec, ["l_quantity", "l_discount", "l_tax"], 2, 12, folder(t, "evolve"))
-    return t.spark.createDataFrame(history)
+    _, kept, done = selection.evolve(df, spec, _BASE, 1, 12, folder(t, "evolve"))
+    return t.spark.createDataFrame([(c, done[0]["generated"]) for c in kept], "feature string, generated long")
+
+
+# batches of four, of which the best three stay; squares are a family of their own, of which the best one stays
+@query(f"""with s as (select i // 4 as batch, feature, r from ({_scores(_MADE)})), f as (select * from s where feature not like '%square' union all select * from (select * from s where feature like '%square' qualify row_number() over (partition by batch order by r desc, feature) = 1))
+select batch::bigint as batch, feature from (select *, row_number() over (partition by batch order by r desc, feature) as k, count(*) over (partition by batch) as n from f) where k <= ceil(n * 0.7)""")
+def evolve_in_batches(t: Tables):
+    """Kept names, batch by batch, read back from the column groups that hold them."""
+    store = ColumnGroups(t.spark)
+    store.begin(t.lineitem.select(*LK, *NUM))
+    one = lambda df, names: selection.top_by_target(df, names, "l_extendedprice", 1)
+    selection.evolve_in_batches(store, _BASE, "l_extendedprice", 1, batch=4, most=None, families={"square": one})
+    kept = [(int(g.rsplit("batch", 1)[1]), c) for g, own in store.groups.items() if g != "base" for c in own]
+    return t.spark.createDataFrame(kept, "batch long, feature string")
+
+
+_POLY = {"l_quantity": "q", "l_discount": "d", "l_tax": "x"}
+_MONOMIALS = [c for k in range(1, 8) for c in combinations_with_replacement(_POLY, k)]
+_READ = [_MONOMIALS[i] for i in (0, 4, 30, 57, 90, 118)]
+
+
+@query(f"select {L4}, " + ", ".join(f"round({' * '.join(c)}, 4) as {''.join(_POLY[x] for x in c)}" for c in _READ) + " from lineitem")
+def wide_columns(t: Tables):
+    """119 monomials to degree 7, made and stored in groups of 25; six of them are read from the groups that hold them."""
+    store = ColumnGroups(t.spark)
+    store.begin(t.lineitem.select(*LK, *_POLY))
+    store.make(((f"{''.join(_POLY[x] for x in c)}_", reduce(mul, map(F.col, c))) for c in _MONOMIALS), list(_POLY), at_a_time=25)
+    names = ["".join(_POLY[x] for x in c) for c in _READ]
+    return rounded(store.read([*LK, *(f"{n}_" for n in names)]).toDF(*LK, *names), 4, *names)
 
 
 # splits
@@ -360,38 +395,58 @@ def _training(t: Tables):
 X = ["l_quantity", "l_discount", "l_tax"]
 
 
-@query("select count(*) as n_rows, true as near_deviation, 0::bigint as n_missing from lineitem")
-def fit_boosted_trees(t: Tables):
-    """Rows scored; whether the error is at most 1.05 times the target's deviation, as any fit's should be; rows without a prediction."""
-    df = _training(t)
-    scored = modeling.fit(df, X, "gbt", "fast", validation="valid").transform(df)
-    spread = scored.agg(F.count("*").alias("n_rows"), F.stddev_pop("target").alias("std"), F.count(F.when(F.col("prediction").isNull(), 1)).alias("n_missing"))
-    return spread.join(ensemble.regression_metrics(scored, "target", "prediction")).select("n_rows", (F.col("rmse") < F.col("std") * 1.05).alias("near_deviation"), "n_missing")
-
+#: A step that no single column tells (quantity and discount, one high and the other low), and a wave of the price on it.
+_STEP = "((l_quantity > 25) <> (l_discount > 0.05))"
+_WAVE = "10 * {}::int + 2 * sin(l_extendedprice / 8000)".format(_STEP)
+XP = [*X, "l_extendedprice"]
 
-@query("select feature, true as share, 1.0::double as total from (select unnest(['l_quantity', 'l_discount', 'l_tax']) as feature)")
-def fit_forest(t: Tables):
-    """Each feature: whether its importance is a share; all of them add up to 1."""
-    df = _training(t)
-    i = modeling.importance(modeling.fit(df, X, "forest", "fast", scale=True), X, t.spark)
-    one = i.agg(F.round(F.sum("importance"), 6).alias("total"))
-    return i.join(F.broadcast(one)).select("feature", F.col("importance").between(0, 1).alias("share"), "total")
 
+def _planted(t: Tables):
+    step = ((F.col("l_quantity") > 25) != (F.col("l_discount") > 0.05)).cast("double")
+    return t.lineitem.select(*LK, *XP, step.alias("y"), (10 * step + 2 * F.sin(F.col("l_extendedprice") / 8000)).alias("target"), (F.col("l_orderkey") % 5 == 0).alias("valid"))
 
-@query("select count(*) as n_rows, true as better_than_chance, 0::bigint as n_outside from lineitem")
-def fit_classifier(t: Tables):
-    """Rows scored; whether the area under the curve is over one half; scores that are no probability."""
-    df = _training(t)
-    model = modeling.fit(df, X, "classifier", "fast", label="y", validation="valid")
-    scored = model.transform(df).select("y", F.element_at(_probability(), 2).alias("s"))
-    seen = scored.agg(F.count("*").alias("n_rows"), F.count(F.when((F.col("s") < 0) | (F.col("s") > 1), 1)).alias("n_outside"))
-    return seen.join(ensemble.classification_metrics(scored, "y", "s")).select("n_rows", (F.col("auc") > 0.5).alias("better_than_chance"), "n_outside")
 
+@query(f"select {L4}, round({_WAVE}, 4) as target, true as near from lineitem where l_orderkey % 5 = 0")
+def fit_boosted_trees(t: Tables):
+    """Each row that chose the rounds but grew no tree: whether its prediction is within 3 of a target that spreads over 14 (the mean is
+    about 5 off on every row)."""
+    df = _planted(t)
+    scored = modeling.fit(df, XP, "gbt", "fast", validation="valid", maxBins=64).transform(df.filter("valid"))
+    return rounded(scored.select(*LK, "target", (F.abs(F.col("prediction") - F.col("target")) < 3).alias("near")), 4, "target")
+
+
+@query(f"select count(*) as n_held, true as under_a_fifth, true as more_than_one_tree, true as cut_at_the_best from lineitem where l_orderkey % 5 = 0")
+def boosting_rounds(t: Tables):
+    """Rows held out; whether their error is under a fifth of the target's deviation; whether the kept trees are those up to the least error."""
+    df = _planted(t)
+    ready = VectorAssembler(inputCols=XP, outputCol="_features").transform(df).select("_features", "target", "valid")
+    rows = shared.settle(ready, "training")
+    model, errors = modeling.boost_with_patience(rows.filter("not valid"), rows.filter("valid"), "gbt", "fast", maxBins=64, maxDepth=4)
+    kept, _ = modeling.best_round(errors, 50)
+    scored = model.transform(rows.filter("valid"))
+    of = ensemble.regression_metrics(scored, "target", "prediction").select("rmse")
+    seen = scored.agg(F.count("*").alias("n_held"), F.stddev_pop("target").alias("std"))
+    best = F.lit(len(model.trees) == kept and errors[kept - 1] == min(errors[: kept + 50]))
+    return seen.join(of).select("n_held", (F.col("rmse") < F.col("std") / 5).alias("under_a_fifth"), F.lit(kept > 1).alias("more_than_one_tree"), best.alias("cut_at_the_best"))
+
+
+@query(f"select {L4}, {_STEP}::int as step from lineitem")
+def fit_forest(t: Tables):
+    """Each row's planted step, as a forest predicts it, where quantity and discount alone have nearly all importance."""
+    df = _planted(t).withColumn("target", F.col("y"))
+    model = modeling.fit(df, X, "forest", "fast", scale=True, maxBins=64)
+    share = modeling.importance(model, X, t.spark).filter(F.col("feature").isin("l_quantity", "l_discount") & (F.col("importance") > 0.2)).agg(F.count("*").alias("n"), F.sum("importance").alias("both"))
+    told = model.transform(df).join(F.broadcast(share.filter("n = 2 and both > 0.9")))
+    return told.select(*LK, F.round("prediction").cast("int").alias("step"))
 
-def _probability():
-    from pyspark.ml.functions import vector_to_array
 
-    return vector_to_array("probability")
+@query(f"select {L4}, {_STEP}::int as step, 0 as n_outside from lineitem where l_orderkey % 5 = 0")
+def fit_classifier(t: Tables):
+    """Each held-out row's planted class, as predicted, and scores that are no probability."""
+    df = _planted(t)
+    model = modeling.fit(df, X, "classifier", "fast", label="y", validation="valid", maxBins=64)
+    s = F.element_at(_probability(), 2)
+    return model.transform(df.filter("valid")).select(*LK, (s > 0.5).cast("int").alias("step"), ((s < 0) | (s > 1)).cast("int").alias("n_outside"))
 
 
 @query("select l_orderkey, round((select avg(l_extendedprice) from lineitem), 4) as prediction from lineitem")
@@ -400,25 +455,31 @@ def mean_model(t: Tables):
     return rounded(modeling.MeanModel(df, X).transform(df).select("l_orderkey", "prediction"), 4)
 
 
-@query("select l_orderkey, true as inside, 'm1' as model_id, 0.5::double as r2 from lineitem")
+@query(f"select {L4}, case when {_STEP} then 0.95 else 0.05 end as prediction, 'm1' as model_id, 0.5::double as r2 from lineitem")
 def registry_and_score(t: Tables):
-    """A model saved, listed by type and feature set, loaded and scored: predictions lie in the cut range."""
-    df = _training(t)
+    """A model saved, listed by type and feature set, loaded and scored: it tells the planted step, cut to the range of predictions."""
+    df = _planted(t)
     reg = modeling.ModelRegistry(t.spark, folder(t, "models"))
-    reg.register("m1", "gbt", modeling.fit(df.withColumn("target", F.col("y")), X, "forest", "fast"), X, {"rmse": 1.0}, created=1.0, feature_set="small")
+    model = modeling.fit(df.withColumn("target", F.col("y")), X, "forest", "fast", maxBins=64)
+    reg.register("m1", "gbt", model, X, {"rmse": 1.0}, created=1.0, feature_set="small")
     reg.update_metrics("m1", {"r2": 0.5})
     row = reg.list("gbt", "small").first()
     model, features = reg.load(row.model_id)
-    scored = modeling.score(model, df, features, "l_orderkey")
-    return scored.select("l_orderkey", F.col("prediction").between(0.05, 0.95).alias("inside"), F.lit(row.model_id).alias("model_id"), F.get_json_object(F.lit(row.metrics), "$.r2").cast("double").alias("r2"))
+    scored = modeling.score(model, df.withColumn("key", F.struct(*LK)), features, "key")
+    near = F.when(F.col("prediction") > 0.5, F.greatest("prediction", F.lit(0.95))).otherwise(F.least("prediction", F.lit(0.05)))
+    return scored.select("key.*", near.alias("prediction"), F.lit(row.model_id).alias("model_id"), F.get_json_object(F.lit(row.metrics), "$.r2").cast("double").alias("r2"))
+
+
+_BEST = "(select sqrt(sum(n * v) / sum(n)) from (select count(*) as n, var_pop(t) as v from x group by {}))"
 
 
-@query("select unnest(['two', 'three']) as model, true as near_deviation from (select count(*) as n from lineitem) where n > 0")
+@query(f"with x as (select *, {_WAVE} as t from lineitem) select model, least_error < deviation / 2 as recovers from (select unnest(['quantity', 'both']) as model, unnest([{_BEST.format('l_quantity')}, {_BEST.format('l_quantity, l_discount')}]) as least_error, (select stddev_pop(t) from x) as deviation)")
 def compare_models(t: Tables):
-    """Each candidate: whether its error on the folds it did not see is at most 1.05 times the target's deviation."""
-    df = _training(t)
-    found = modeling.compare(df, {"two": (X[:2], "forest", "fast"), "three": (X, "forest", "fast")}, ["l_orderkey"])
-    return found.join(F.broadcast(df.agg(F.stddev_pop("target").alias("std")))).select("model", (F.col("rmse") < F.col("std") * 1.05).alias("near_deviation"))
+    """Each candidate: whether its error on the folds it did not see is under half of the target's deviation, as the least error that its
+    columns allow is."""
+    df = _planted(t)
+    found = modeling.compare(df, {"quantity": (X[:1], "forest", "fast"), "both": (X[:2], "forest", "fast")}, ["l_orderkey"])
+    return found.join(F.broadcast(df.agg(F.stddev_pop("target").alias("std")))).select("model", (F.col("rmse") < F.col("std") / 2).alias("recovers"))
 
 
 # run metrics over relations derived from orders: a run is a customer, a model an order
@@ -537,3 +598,25 @@ def map_groups(t: Tables):
         return pd.DataFrame({"o_custkey": [pdf.o_custkey.iloc[0]], "n": [len(pdf)], "top": [pdf.o_totalprice.max()]})
 
     return custom.map_groups(t.orders.select("o_custkey", "o_totalprice"), "o_custkey", run, "o_custkey long, n long, top double")
+
+
+@query("select l_returnflag, count(*) as n, max(l_extendedprice) as top, round(avg(l_extendedprice), 4) as mean, round(stddev_pop(l_extendedprice), 4) as std from lineitem group by 1")
+def map_groups_in_parts(t: Tables):
+    """A user's statistics in two phases: counts, sums and moments of parts of 5,000 rows, merged by four."""
+    import pandas as pd
+
+    def partial(pdf):
+        x = pdf.l_extendedprice
+        return pd.DataFrame({"l_returnflag": pdf.l_returnflag[:1].to_numpy(), "n": [len(x)], "top": [x.max()], "mean": [x.mean()], "m2": [((x - x.mean()) ** 2).sum()]})
+
+    def merge(pdf):
+        n, mean = pdf.n.sum(), (pdf.n * pdf["mean"]).sum() / pdf.n.sum()
+        m2 = (pdf.m2 + pdf.n * (pdf["mean"] - mean) ** 2).sum()
+        return pd.DataFrame({"l_returnflag": pdf.l_returnflag[:1].to_numpy(), "n": [n], "top": [pdf.top.max()], "mean": [mean], "m2": [m2]})
+
+    def finish(pdf):
+        return pdf.assign(std=(pdf.m2 / pdf.n) ** 0.5).drop(columns="m2")
+
+    df = t.lineitem.select("l_returnflag", "l_extendedprice")
+    own = "l_returnflag string, n long, top double, mean double"
+    return rounded(custom.map_groups_in_parts(df, "l_returnflag", partial, merge, f"{own}, m2 double", finish, f"{own}, std double", rows=5_000, fan=4), 4, "mean", "std")
