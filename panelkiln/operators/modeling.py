@@ -30,12 +30,13 @@ FOREST = {"deep": {"maxDepth": 12, "numTrees": 100}, "balanced": {"maxDepth": 10
 LOSSES = {"gbt": ("squared", "regression.GBTRegressionModel"), "classifier": ("logistic", "classification.GBTClassificationModel")}
 
 
-def estimator(kind: str, preset: str = "fast", label: str = "target", **params):
-    """gbt, forest or classifier."""
+def estimator(kind: str, preset: str = "fast", label: str = "target", validation: str | None = None, **params):
+    """gbt, forest or classifier. validation: a boolean column for Spark's own stop at the first small gain (fit has patience instead)."""
     common = {"featuresCol": "_features", "labelCol": label, "seed": 42}
+    stop = {"validationIndicatorCol": validation, "validationTol": 1e-4} if validation and kind != "forest" else {}
     if kind == "forest":
         return RandomForestRegressor(**common, **(FOREST[preset] | params))
-    return {"gbt": GBTRegressor, "classifier": GBTClassifier}[kind](**common, **(PRESETS[preset] | params))
+    return {"gbt": GBTRegressor, "classifier": GBTClassifier}[kind](**common, **stop, **(PRESETS[preset] | params))
 
 
 def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
@@ -74,7 +75,7 @@ def boost_with_patience(train: DataFrame, held: DataFrame, kind: str, preset: st
     most = (PRESETS[preset] | params)["maxIter"]
     rounds = min(most, 2 * patience)
     while True:
-        model = estimator(kind, preset, label, **(params | {"maxIter": rounds})).fit(train)
+        model = estimator(kind, preset, label, None, **params).setMaxIter(rounds).fit(train)
         errors = model.evaluateEachIteration(held, LOSSES[kind][0]) if kind == "gbt" else model.evaluateEachIteration(held)
         kept, ended = best_round(errors, patience)
         if ended or rounds == most:
@@ -92,7 +93,7 @@ def fit(df: DataFrame, features: list[str], kind: str = "gbt", preset: str = "fa
     stages = [VectorAssembler(inputCols=features, outputCol=made, handleInvalid="keep")]
     stages += [StandardScaler(inputCol="_raw", outputCol="_features", withMean=True)] if scale else []
     if validation is None or kind == "forest":
-        return Pipeline(stages=[*stages, estimator(kind, preset, label, **params)]).fit(df)
+        return Pipeline(stages=[*stages, estimator(kind, preset, label, None, **params)]).fit(df)
     ready = Pipeline(stages=stages).fit(df.filter(~F.col(validation)))
     # every round reads the rows again
     rows = settle(ready.transform(df).select("_features", label, F.col(validation).alias("_held")), "training")

@@ -71,7 +71,8 @@ def test_sums_and_means_over_slices(panel):
         want, got = by_key(op(panel, SPEC)), by_key(op(panel, hot(30)))
         assert want.keys() == got.keys()
         for k in want:
-            assert got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9), k
+            for a, b in zip(got[k], want[k], strict=True):
+                assert a == b or isinstance(a, float) and a == pytest.approx(b, rel=1e-7, abs=1e-7), k
 
 
 @pytest.mark.parametrize("size", [None, 7, 64])
