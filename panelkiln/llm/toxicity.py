@@ -4,7 +4,7 @@ A logistic classifier over the presence of hashed words and heads of words is tr
 and other texts without regard to their labels (unlabelled). The risk is the positive-unlabelled estimator with a class
 prior p: p * E_pos[l(+)] + max(0, E_unl[l(-)] - p * E_pos[l(-)]); where the bracket turns negative in a batch, the step goes
 the other way, which undoes overfitting. Whole texts are scored in Arrow batches with the weights broadcast; their
-size is fixed by `bits`.
+size is fixed by `bits`. What reaches the driver is bounded in rows and in bytes, however often a doc_id repeats.
 
 Labels of rows in the held-out fold are never read, and neither lang, source nor doc_id enters a score.
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .common import settle
 
 #: Bytes between words: ASCII that is neither a letter nor a digit.
 GAPS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -56,6 +57,17 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def risk_and_slope(s: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk of a batch with scores s, and the derivative of what the step descends in each row's logit:
+    of the whole risk, or, where the bracket is negative, of the bracket with its sign turned."""
+    p_pos, p_unl = prior * positive / positive.sum(), ~positive / (~positive).sum()
+    toxic, clean = -np.log(np.maximum(s, 1e-12)), -np.log(np.maximum(1 - s, 1e-12))
+    bracket = (p_unl - p_pos) @ clean
+    # in the logit the derivative of l(+) is s - 1, of l(-) it is s
+    slope = p_pos * (s - 1) + (p_unl - p_pos) * s if bracket >= 0 else -(p_unl - p_pos) * s
+    return float(p_pos @ toxic + max(0.0, bracket)), slope
+
+
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, epochs: int = 60, batch: int = 1024, rate: float = 0.05, decay: float = 3e-4, least_rows: int = 5, least_z: float = 2.0, seed: int = 3) -> tuple[np.ndarray, float]:
     """Weights of all features and the intercept.
 
@@ -94,10 +106,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             flat = np.concatenate(part)
             owner = np.repeat(np.arange(len(o)), [len(p) for p in part])
             s = _sigmoid(np.bincount(owner, weights=w[flat], minlength=len(o)) + w[-1])
-            p_pos, p_unl = prior * pos / pos.sum(), ~pos / (~pos).sum()
-            bracket = (p_unl - p_pos) @ -np.log(np.maximum(1 - s, 1e-12))
-            # derivative in the score: of l(+) it is s - 1, of l(-) it is s
-            slope = p_pos * (s - 1) + (p_unl - p_pos) * s if bracket >= 0 else -(p_unl - p_pos) * s
+            slope = risk_and_slope(s, pos, prior)[1]
             g = np.append(np.bincount(flat, weights=slope[owner], minlength=k) + held_back * w[:-1], slope.sum())
             step += 1
             m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
@@ -109,8 +118,23 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return weights, float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, most_positive: int = 3000, most_unlabelled: int = 9000) -> dict:
-    """A model from at most most_positive confirmed and most_unlabelled unlabelled texts, chosen by a hash of doc_id.
+def _bounded(rows: DataFrame, most: int, most_bytes: int) -> list[np.ndarray]:
+    """Features of the first rows by key: at most `most` rows and, but for a single row, most_bytes."""
+    sizes = rows.select("key", F.octet_length("ids").alias("size")).orderBy("key").limit(most).collect()
+    if not sizes:
+        return []
+    n = max(1, int((np.cumsum([r.size for r in sizes]) <= most_bytes).sum()))
+    last = sizes[n - 1].key
+    same = sum(r.key == last for r in sizes[:n])
+    last = F.struct(*(F.lit(last[c]).cast(rows.schema["key"].dataType[c].dataType).alias(c) for c in ("chance", "doc_id", "digest")))
+    # rows with the last key are alike, so any of them will do
+    kept = rows.filter(F.col("key") < last).select("key", "ids").unionByName(rows.filter(F.col("key") == last).limit(same).select("key", "ids")).collect()
+    return [np.frombuffer(bytes(r.ids), "<i4").astype(np.int64) for r in sorted(kept, key=lambda r: (r.key.doc_id, bytes(r.ids)))]
+
+
+def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, most_positive: int = 3000, most_unlabelled: int = 9000, most_bytes: int = 256 << 20) -> dict:
+    """A model from at most most_positive confirmed and most_unlabelled unlabelled rows, chosen by a hash of doc_id, and
+    from fewer where the features of either sample would take more than most_bytes.
 
     The class prior is the share of toxic rows among all labels outside the held-out fold.
     """
@@ -121,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, most_positive: int =
     chance = F.xxhash64("doc_id", F.lit(17))
     toxic = marks.filter("toxic = 1").select("doc_id").orderBy(chance, "doc_id").limit(most_positive)
     others = own.select("doc_id").orderBy(chance, "doc_id").limit(most_unlabelled).distinct()
-    # at most most_positive + most_unlabelled rows
+    # at most most_positive + most_unlabelled doc_ids; rows that repeat one are bounded below
     chosen = F.broadcast(toxic.withColumn("positive", F.lit(True)).unionByName(others.withColumn("positive", F.lit(False))))
 
     def run(batches):
@@ -131,10 +155,10 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, most_positive: int =
             yield from pa.table({"doc_id": t.column("doc_id"), "positive": t.column("positive"), "ids": pa.array([data[4 * s : 4 * e] for s, e in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())}).to_batches()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = own.join(chosen, "doc_id").select("doc_id", "positive", "text").mapInArrow(run, f"doc_id {kind}, positive boolean, ids binary").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, bytes(r.ids)))
-    as_ids = lambda keep: [np.frombuffer(bytes(r.ids), "<i4").astype(np.int64) for r in rows if r.positive == keep]
-    weights, bias = train(as_ids(True), as_ids(False), prior, bits)
+    made = own.join(chosen, "doc_id").select("doc_id", "positive", "text").mapInArrow(run, f"doc_id {kind}, positive boolean, ids binary")
+    made = settle(made.withColumn("key", F.struct(chance.alias("chance"), "doc_id", F.xxhash64("ids").alias("digest"))), "training")
+    toxic, others = (_bounded(made.filter(F.col("positive") == p), n, most_bytes) for p, n in ((True, most_positive), (False, most_unlabelled)))
+    weights, bias = train(toxic, others, prior, bits)
     return {"weights": weights, "bias": bias, "bits": bits, "prior": prior}
 
 
