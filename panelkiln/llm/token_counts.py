@@ -4,11 +4,13 @@ The store holds one folder of signed totals for each committed batch: inserts ad
 count adds its difference. A batch is aggregated on the executors and written under its own identifier, so committing
 it again replaces the same totals with the same totals (a batch marked complete is left alone), and a batch whose job
 died half-way is simply written again. Totals are the sum over batches; compact() folds many batches into one and keeps
-their names, so that a batch folded in is not added again.
+their names beside its own totals, so that a batch folded in is not added again; names count once the totals are complete.
 
 Defined results: a null source or language is a group of its own. A null text has 0 tokens and counts as a document.
 Counts that cancel to no documents and no tokens leave no row. An empty batch commits nothing but its mark. Changes
-with a null count add 0. Other columns play no part.
+with a null count add 0. Of rows with equal texts the smallest doc_id stays (null before all), then the smallest source and
+language, so repeated rows count once and totals do not depend on the order of files. All tokens of a very long text
+count. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from . import kernels as K
 from .common import settle, shared_folder
 from .tokens import CHUNK_BYTES, Ids, vocabulary_path
 
-#: Folder with a marker for each batch that compact() folded in.
+#: Folder of compact(): below it, for each batch of folded totals, a marker for each batch folded into it.
 FOLDED = "_folded"
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -68,16 +70,17 @@ class Rollup:
 
     def batches(self) -> list[str]:
         """Names of all batches committed, folded ones too."""
-        return sorted(x.rsplit("/batch=", 1)[1] for x in [*self._folders(), *self._below(f"{self.path}/{FOLDED}")])
+        own = [x.rsplit("/batch=", 1)[1] for x in self._folders()]
+        return sorted({*own, *(x.rsplit("/batch=", 1)[1] for name in own for x in self._below(f"{self.path}/{FOLDED}/into={name}"))})
 
-    def _remember(self, batch: str) -> None:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{FOLDED}/batch={batch}")
+    def _remember(self, batch: str, into: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{FOLDED}/into={into}/batch={batch}")
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(p)
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds changes (KEYS, old_tokens, new_tokens: null old inserts, null new deletes); False if the batch is already in."""
         at = f"{self.path}/batch={batch}"
-        if self._exists(f"{at}/_SUCCESS") or self._exists(f"{self.path}/{FOLDED}/batch={batch}"):
+        if batch in self.batches():
             return False
         sign = F.col("new_tokens").isNotNull().cast("long") - F.col("old_tokens").isNotNull().cast("long")
         more = F.coalesce("new_tokens", F.lit(0)) - F.coalesce("old_tokens", F.lit(0))
@@ -92,10 +95,11 @@ class Rollup:
 
 
 def compact(rollup: Rollup, path: str, batch: str) -> Rollup:
-    """The same totals as one batch of a new store, which knows the names of the batches folded in."""
+    """The same totals as one batch of a new store, which knows the names of the batches folded in. The totals' own commit
+    makes both count, so a run that died half-way leaves an empty store and is simply repeated."""
     out = Rollup(rollup.spark, path)
     for name in rollup.batches():
-        out._remember(name)
+        out._remember(name, batch)
     rollup.totals().write.mode("overwrite").parquet(f"{out.path}/batch={batch}")
     return out
 
@@ -115,10 +119,10 @@ def corpus_rollup(docs: DataFrame, store: str | None = None, vocabulary: str | N
     text (version white_space_1); exact copies, but the smallest doc_id of each text, are deleted; and the first batch is
     committed once more, which changes nothing."""
     spark = docs.sparkSession
-    counts = settle(count_tokens(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "counts").withColumn("closed", F.col("words") + 1)
+    counts = settle(count_tokens(docs, vocabulary), "counts").withColumn("closed", F.col("words") + 1)
     # of each text, the row with the smallest doc_id stays: all rows are deleted and those inserted again, in one batch,
     # so no join brings all copies of a text together
-    first = counts.groupBy("text_key").agg(F.min(F.struct("doc_id", "row", "source", "lang", *sorted(set(VERSIONS.values()) | {"closed"}))).alias("first")).select("first.*")
+    first = counts.groupBy("text_key").agg(F.min(F.struct("doc_id", "source", "lang", *sorted(set(VERSIONS.values()) | {"closed"}))).alias("first")).select("first.*")
     rollup = Rollup(spark, store or f"{shared_folder(spark)}/panelkiln/rollup-{uuid.uuid4().hex}")
     after = VERSIONS | {"white_space_1": "closed"}
     load = _as_changes(counts, None, VERSIONS)
