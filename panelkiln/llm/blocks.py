@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from .common import free, settle
 
 
-def block_pairs(rows: DataFrame, group: list[str], order: Column, block: int, buckets: int) -> DataFrame:
+def block_pairs(rows: DataFrame, group: list[str], order: Column, block: int, least_buckets: int, size: Column, each: int = 32 << 20) -> DataFrame:
     """rows, replicated to the block pairs of their group, with i, j (the pair), side (0: block i, 1: block j) and bucket.
 
     A group of m rows has ceil(m / block) blocks; a row in block b is needed in the pairs (b, j) and (i, b), so a group
     within one block is not replicated at all. Rows go to blocks by a hash, so no group is ever sorted or gathered.
     bucket: packs many small groups into one call; the blocks of a large group spread over the buckets.
+    size: bytes of a row. There are at least least_buckets buckets, and one for `each` replicated bytes, so that what a
+    call holds does not grow with the data.
     """
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("_m"))
-    sized = rows.join(sizes.filter(F.col("_m") > 1), group)
+    sizes = settle(rows.groupBy(*group).agg(F.count("*").alias("_m"), F.sum(size.cast("long")).alias("_s")).filter(F.col("_m") > 1), "sizes")
+    total = sizes.agg(F.sum(F.col("_s") * F.ceil(F.col("_m") / F.lit(block)))).first()[0] or 0
+    buckets = max(least_buckets, -(-int(total) // each))
+    sized = rows.join(sizes.drop("_s"), group)
     sized = sized.withColumn("_n", F.ceil(F.col("_m") / F.lit(block)).cast("int")).withColumn("_b", F.pmod(F.xxhash64(order), F.col("_n")).cast("int"))
     pairs = F.expr("flatten(array(transform(sequence(_b, _n - 1), j -> struct(_b as i, j as j)), transform(filter(sequence(0, _b), x -> x < _b), i -> struct(i as i, _b as j))))")
     out = sized.withColumn("_p", F.explode(pairs)).withColumn("i", F.col("_p.i")).withColumn("j", F.col("_p.j")).withColumn("side", (F.col("_b") != F.col("i")).cast("int"))

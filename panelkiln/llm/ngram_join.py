@@ -3,8 +3,10 @@
 A text is the set of its five-word shingles (hashes of 48 bits; words lie between ASCII white space, unchanged). Equal
 sets are one set with a weight before anything else. Each set has `trees` MinHash labels of up to `depth` values, whose
 prefixes are the tries' branches. Sets that share a prefix at the current depth meet. The first depth is the longest
-at which a pair exactly at the threshold meets with the target recall; the prefix is then shortened by one value at a
-time while the estimate from the found pairs, weighted by their chance to be found, is below it.
+at which a pair exactly at the threshold meets with the chance `recall`. The prefix is then shortened by one value at a
+time while the recall that the found pairs let expect is below `target`: a pair of similarity s meets in trees * s^depth
+branches on average, so each meeting stands for one over that many pairs, of which the chance at s is found. Where most
+links are far above the threshold the first depth is enough; where many lie near it the forest goes on.
 
 Where a branch's sets meet they are not paired off. A leader is drawn, all members near it by a coarse signature get
 a link to it, those very near leave, and so on; Jaccard distance is a metric, so two sets at 0.8 end up linked
@@ -127,8 +129,8 @@ def _codes(t: pa.Table, names) -> np.ndarray:
 
 def _lead(least: float, depth: int, trees: int):
     """A spanning forest of the links of members to leaders, all branches at once: in each round every branch with members
-    left draws a leader. The last row (ids -1) counts the links that look at least `least` similar, as found and as
-    weighted by one over their chance to be found."""
+    left draws a leader. The last row (ids -1) sums over the links that look at least `least` similar: the pairs that they
+    stand for (total), and those of them that are found by chance (found)."""
 
     def run(t: pa.Table) -> pa.Table:
         order, cut = K.grouped(_codes(t, ("label", "i", "j")))
@@ -137,7 +139,7 @@ def _lead(least: float, depth: int, trees: int):
         coarse = K.string_buffers(t.column("coarse"))[0].reshape(n, -1)[order] if n else np.zeros((0, 1), np.uint8)
         branch = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
         left, active, root = np.ones(n, bool), np.arange(n), np.arange(n)
-        found, total = 0, 0.0
+        found, total = 0.0, 0.0
         while len(active):
             waiting = active[left[active]]
             leader_of = np.full(len(cut) - 1, -1)
@@ -149,11 +151,12 @@ def _lead(least: float, depth: int, trees: int):
             if link.any():
                 root = K.forest(n, root[active[link]], root[lead[link]])[root]
             s = near[link & (near >= least)]
-            found, total = found + len(s), total + float((1 / (1 - (1 - s**depth) ** trees)).sum())
+            pairs = 1 / (trees * s**depth)
+            found, total = found + float((pairs * chance(s, depth, trees)).sum()), total + float(pairs.sum())
             left[active[(near >= VERY_NEAR) | (active == lead)]] = False
         child = np.flatnonzero((root != np.arange(n)) & (rep != rep[root])) if n else active
         m = len(child)
-        return pa.table({"a": np.append(rep[child], -1), "b": np.append(rep[root[child]], -1), "found": np.append(np.zeros(m, np.int64), found), "total": np.append(np.zeros(m), total)})
+        return pa.table({"a": np.append(rep[child], -1), "b": np.append(rep[root[child]], -1), "found": np.append(np.zeros(m), found), "total": np.append(np.zeros(m), total)})
 
     return run
 
@@ -229,20 +232,20 @@ def _members(w: int):
     return run
 
 
-def chance(s: float, depth: int, trees: int) -> float:
+def chance(s, depth: int, trees: int):
     """Chance that two sets of similarity s share a prefix of this depth in some tree."""
     return 1 - (1 - s**depth) ** trees
 
 
-def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12, depth: int = 6, recall: float = 0.99, block: int = 1024, branch_block: int = 20_000) -> DataFrame:
+def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12, depth: int = 6, recall: float = 0.99, target: float = 0.995, block: int = 1024, branch_block: int = 20_000) -> DataFrame:
     """Per row: doc_id, class_id (smallest doc_id that links reach), n_links, n_shingles, kept and text_key.
 
     least: smallest Jaccard similarity of a link. w: words in a shingle. trees, depth: labels and their longest prefix.
-    recall: target for both estimates. block: sets of a cluster that one task verifies at once. n_links counts all other
+    recall: smallest chance that a pair at the threshold meets, which sets the first depth. target: share of all linked pairs
+    that should meet, by the estimate from those found, until which prefixes are shortened. block: sets of a cluster that one task verifies at once. n_links counts all other
     documents linked directly, copies included. kept: one row of each class, that of the smallest doc_id (nulls last).
     """
-    spark = docs.sparkSession
-    buckets = partitions(spark, 4)
+    least_buckets = partitions(docs.sparkSession, 4)
     source = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = settle(source.mapInArrow(_sign(w, trees * depth), "doc_id long, text_key long, set_key binary, n long, signature binary").withColumn("row", F.monotonically_increasing_id()), "signatures")
     # a class keeps its first row: by doc_id, nulls last, then by text and row
@@ -254,16 +257,15 @@ def near_texts(docs: DataFrame, least: float = 0.8, w: int = 5, trees: int = 12,
         at -= 1
     while True:
         rows = sets.select("rep", "signature").mapInArrow(_labels(trees, depth, at), "label long, rep long, coarse binary")
-        met = block_pairs(rows, ["label"], F.col("rep"), branch_block, buckets)
-        edges = settle(met.select("label", "rep", "coarse", "i", "j", "bucket").groupBy("bucket").applyInArrow(_lead(least, at, trees), "a long, b long, found long, total double"), "candidates")
-        seen = edges.filter("a < 0").agg(F.coalesce(F.sum("found"), F.lit(0)).alias("found"), F.sum("total").alias("all")).first()
-        estimate = seen.found / seen["all"] if seen.found else 1.0
-        if at == 1 or min(estimate, chance(least, at, trees)) >= recall:
+        met = block_pairs(rows, ["label"], F.col("rep"), branch_block, least_buckets, F.octet_length("coarse") + 64)
+        edges = settle(met.select("label", "rep", "coarse", "i", "j", "bucket").groupBy("bucket").applyInArrow(_lead(least, at, trees), "a long, b long, found double, total double"), "candidates")
+        seen = edges.filter("a < 0").agg(F.sum("found").alias("found"), F.sum("total").alias("total")).first()
+        if at == 1 or not seen.total or seen.found / seen.total >= target:
             break
         at -= 1
     clusters = components(edges.filter("a >= 0").select("a", "b"))
-    wanted = settle(sets.select("rep", "set_key", "weight", "least_id").join(clusters.select(F.col("id").alias("rep"), F.col("root").alias("cluster")), "rep"), "clusters")
-    pairs = block_pairs(wanted, ["cluster"], F.col("rep"), block, buckets)
+    wanted = settle(sets.select("rep", "set_key", "n", "weight", "least_id").join(clusters.select(F.col("id").alias("rep"), F.col("root").alias("cluster")), "rep"), "clusters")
+    pairs = block_pairs(wanted, ["cluster"], F.col("rep"), block, least_buckets, F.col("n") * 8 + 64)
     asked = may_meet(docs.select(F.col("doc_id").cast("long").alias("_id"), "text"), "_id", wanted, "least_id")
     texts = asked.join(pairs, F.col("_id").eqNullSafe(F.col("least_id"))).select("rep", "weight", "cluster", "i", "j", "side", "bucket", "set_key", "text")
     members = texts.mapInArrow(_members(w), "rep long, weight long, cluster long, i int, j int, side int, bucket int, members binary")
@@ -291,7 +293,8 @@ def _verify_once(least: float):
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """docs with one row of each class; all columns stay, whatever their names."""
+    """docs with one row of each class; all columns stay, whatever their names. Of rows with equal doc_id and text the first
+    by all their columns stays."""
     found = near_texts(docs.select("doc_id", "text"), **settings).groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.max("n_shingles").alias("s"), F.bool_or("kept").alias("kept"))
     own_id, own_key, kept = free(docs, "found_id", "found_key", "found_kept")
     # rows that go, and rows that have a twin to lose; all others stay without a shuffle of their texts
@@ -300,5 +303,6 @@ def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     both = some.join(acted.toDF(own_id, own_key, kept), F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (key == F.col(own_key)), "left")
     single = both.filter(F.col(kept).isNull()).select(docs.columns)
-    twins = both.filter(kept).dropDuplicates(["doc_id", own_key]).select(docs.columns)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    twins = both.filter(kept).groupBy("doc_id", own_key).agg(F.min_by(whole, F.to_json(whole)).alias("first")).select("first.*")
     return others.unionByName(single).unionByName(twins)

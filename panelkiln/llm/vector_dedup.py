@@ -179,8 +179,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, cell_rows: int = 2000,
     sent = settle(dealt.cogroup(beside(reached)).applyInArrow(_cells(r), CELLS), "cells")
     whole = unique.join(large, key, "left_anti").select("rep", *key, "weight", "v", F.lit(0).alias("cell"), F.lit(True).alias("home"))
     cells = sent.select("rep", *key, "weight", "v", "own", F.explode("cells").alias("cell")).withColumn("home", F.expr("own = cell")).drop("own").unionByName(whole)
-    buckets = partitions(spark, 2)
-    pairs = block_pairs(cells, ["label", "dims", "cell"], F.col("rep"), block, buckets)
+    pairs = block_pairs(cells, ["label", "dims", "cell"], F.col("rep"), block, partitions(spark, 2), F.col("dims") * 8 + 64)
     found = settle(pairs.groupBy("bucket").applyInArrow(_join_cells(least), "a long, b long, links long"), "links")
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     # roots by the smallest vec_id: components over reps, then the least id in each
