@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..functions import custom
 from ..operators import windows
 from ..spec import PanelSpec
 from .define import KEYS, NULLS, ORDERS, Tables, W, frame, query, rounded
@@ -76,3 +79,30 @@ select {KEYS}, price, round(e, 4) as price_ema_12 from r join e using (o_custkey
 )
 def ema_gaps_orders(t: Tables):
     return rounded(windows.ema(t.panel(True), ORDERS, "price", 12), 4, "price_ema_12")
+
+
+class SlopeModel:
+    """A user's model: the sum of each feature times its own slope."""
+
+    def __init__(self, features: list[str]):
+        self.features = features
+
+    def fit(self, df, label: str = "target"):
+        self.slopes = df.agg(*(F.regr_slope(label, f).alias(f) for f in self.features)).first()
+        return self
+
+    def transform(self, df):
+        return df.withColumn("prediction", sum((F.col(f) * self.slopes[f] for f in self.features), F.lit(0.0)))
+
+
+@query(
+    """with r as (select o_custkey::double as c, day(o_orderdate)::double as d, o_totalprice / 1000 + 3 * day(o_orderdate) as y, row_number() over (order by o_orderkey) - 1 as i, count(*) over () as n from orders),
+s as (select regr_slope(y, c) as sc, regr_slope(y, d) as sd from r),
+b as (select r.*, o.c as oc, o.d as od, sc, sd from r join r o on o.i = (r.i + r.n // 2) % r.n cross join s)
+select 'cust' as feature, round(avg(pow(sc * oc + sd * d - y, 2)) - avg(pow(sc * c + sd * d - y, 2)), 4) as importance from b
+union all select 'day', round(avg(pow(sc * c + sd * od - y, 2)) - avg(pow(sc * c + sd * d - y, 2)), 4) from b"""
+)
+def user_importance_orders(t: Tables):
+    day = F.dayofmonth("o_orderdate").cast("double")
+    rows = t.orders.select("o_orderkey", F.col("o_custkey").cast("double").alias("cust"), day.alias("day"), (F.col("o_totalprice") / 1000 + 3 * day).alias("target"))
+    return rounded(custom.user_importance(SlopeModel(["cust", "day"]).fit(rows), rows, ["cust", "day"], order=["o_orderkey"]), 4, "importance")

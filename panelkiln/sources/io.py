@@ -108,9 +108,9 @@ def describe(df: DataFrame, spec: PanelSpec, families: dict[str, str] | None = N
     return one.select("*", F.lit(len(names)).alias("n_features"), *(F.lit(sum(bool(re.search(p, c)) for c in names)).alias(f"n_{k}") for k, p in families.items()))
 
 
-def write_splits(df: DataFrame, path: str, column: str = "split", compression: str = "zstd") -> None:
-    """One folder for each value of the split column."""
-    df.write.mode("overwrite").option("compression", compression).partitionBy(column).parquet(path)
+def write_splits(df: DataFrame, path: str, column: str = "split", compression: str = "zstd", group_rows: int = 100_000) -> None:
+    """One folder for each value of the split column; row groups of at most group_rows rows, so readers skip and split finely."""
+    df.write.mode("overwrite").option("compression", compression).option("parquet.block.row.count.limit", group_rows).partitionBy(column).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
