@@ -68,35 +68,48 @@ def risk_and_slope(s: np.ndarray, positive: np.ndarray, prior: float) -> tuple[f
     return float(p_pos @ toxic + max(0.0, bracket)), slope
 
 
+def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, least_rows: int, least_z: float) -> tuple[np.ndarray, np.ndarray]:
+    """Features in at least least_rows rows whose shares in the two samples differ by least_z standard errors, and by how many."""
+    seen = []
+    for sample in (positive, unlabelled):
+        count = np.zeros(n, np.int32)
+        for at in range(0, len(sample), 500):
+            np.add.at(count, np.concatenate(sample[at : at + 500]), 1)
+        seen.append(count)
+    some = np.flatnonzero(seen[0] + seen[1] >= least_rows)
+    seen = [count[some].astype(np.int64) for count in seen]
+    share = [s / len(x) for s, x in zip(seen, (positive, unlabelled), strict=True)]
+    both = (seen[0] + seen[1] + 1) / (len(positive) + len(unlabelled))
+    z = (share[0] - share[1]) / np.sqrt(both * np.maximum(1 - both, 1e-9) * (1 / len(positive) + 1 / len(unlabelled)))
+    used = np.abs(z) >= least_z
+    return some[used], z[used]
+
+
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bits: int, epochs: int = 60, batch: int = 1024, rate: float = 0.05, decay: float = 3e-4, least_rows: int = 5, least_z: float = 2.0, seed: int = 3) -> tuple[np.ndarray, float]:
     """Weights of all features and the intercept.
 
     decay: penalty on the square of a weight whose feature's shares in the two samples differ by 7 standard errors; it
     falls and grows with the fourth power of that number, so weak evidence is held back more instead of being cut off.
     """
-    n = 1 << bits
-    rows = [*positive, *unlabelled]
-    is_pos = np.arange(len(rows)) < len(positive)
-    weights, bias = np.zeros(n), float(np.log(prior / (1 - prior)))
+    n, total = 1 << bits, len(positive) + len(unlabelled)
+    is_pos = np.arange(total) < len(positive)
+    bias = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
-        return weights, bias
+        return np.zeros(n), bias
     # features whose shares in the two samples differ by least_z standard errors
-    seen = [np.bincount(np.concatenate(x), minlength=n) for x in (positive, unlabelled)]
-    share = [s / len(x) for s, x in zip(seen, (positive, unlabelled), strict=True)]
-    both = (seen[0] + seen[1] + 1) / len(rows)
-    z = (share[0] - share[1]) / np.sqrt(both * np.maximum(1 - both, 1e-9) * (1 / len(positive) + 1 / len(unlabelled)))
-    used = (np.abs(z) >= least_z) & (seen[0] + seen[1] >= least_rows)
-    names = np.flatnonzero(used)
-    number = np.cumsum(used) - 1
-    rows = [number[r[used[r]]] for r in rows]
-    held_back = decay * (7.0 / np.abs(z[names])) ** 4
+    names, z = _telling(positive, unlabelled, n, least_rows, least_z)
     k = len(names)
+    number = np.full(n, -1, np.int32)
+    number[names] = np.arange(k)
+    rows = [x[x >= 0] for x in (number[r] for sample in (positive, unlabelled) for r in sample)]
+    del number
+    held_back = decay * (7.0 / np.abs(z)) ** 4
     w = np.zeros(k + 1)  # the last is the intercept
     w[-1] = bias
     m1, m2, step, mean, kept = np.zeros(k + 1), np.zeros(k + 1), 0, np.zeros(k + 1), 0
     random = np.random.default_rng(seed)
     for epoch in range(epochs):
-        order = random.permutation(len(rows))
+        order = random.permutation(total)
         for at in range(0, len(order), batch):
             o = order[at : at + batch]
             pos = is_pos[o]
@@ -114,6 +127,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             if epoch >= epochs * 3 // 4:
                 mean, kept = mean + w, kept + 1
     w = mean / kept if kept else w
+    weights = np.zeros(n)
     weights[names] = w[:-1]
     return weights, float(w[-1])
 
@@ -128,8 +142,9 @@ def _bounded(rows: DataFrame, most: int, most_bytes: int) -> list[np.ndarray]:
     same = sum(r.key == last for r in sizes[:n])
     last = F.struct(*(F.lit(last[c]).cast(rows.schema["key"].dataType[c].dataType).alias(c) for c in ("chance", "doc_id", "digest")))
     # rows with the last key are alike, so any of them will do
-    kept = rows.filter(F.col("key") < last).select("key", "ids").unionByName(rows.filter(F.col("key") == last).limit(same).select("key", "ids")).collect()
-    return [np.frombuffer(bytes(r.ids), "<i4").astype(np.int64) for r in sorted(kept, key=lambda r: (r.key.doc_id, bytes(r.ids)))]
+    kept = rows.filter(F.col("key") < last).select("key", "ids").unionByName(rows.filter(F.col("key") == last).limit(same).select("key", "ids"))
+    # a partition at a time, so that the driver holds the sample once
+    return [np.frombuffer(ids, "<i4") for _, ids in sorted((r.key.doc_id, bytes(r.ids)) for r in kept.toLocalIterator())]
 
 
 def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, most_positive: int = 3000, most_unlabelled: int = 9000, most_bytes: int = 256 << 20) -> dict:
@@ -165,11 +180,13 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, most_positive: int =
 def score(docs: DataFrame, model: dict, threshold: float = 0.3, keep: tuple = ()) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted and the columns in keep."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model["weights"].astype(np.float64))
+    names = np.flatnonzero(model["weights"])
+    shared = spark.sparkContext.broadcast((names.astype(np.int32), model["weights"][names].astype(np.float64)))
     bits, bias = model["bits"], model["bias"]
 
     def run(batches):
-        weights = shared.value
+        weights = np.zeros(1 << bits)
+        weights[shared.value[0]] = shared.value[1]
         for t in K.chunks(batches, limit=CHUNK_BYTES):
             ids, first = features(t.column("text"), bits)
             total = np.append(0, np.cumsum(weights[ids]))

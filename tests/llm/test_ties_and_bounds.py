@@ -1,6 +1,7 @@
 """Bounds that repeated rows must not break, results that must not depend on file layout, and prefixes that get shorter."""
 
 import collections
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -30,6 +31,19 @@ def test_training_rows_are_bounded_in_rows_and_bytes(spark, monkeypatch):
     assert [len(x) for x in seen[4]] == [1, 1]
 
 
+def test_training_takes_little_of_the_drivers_memory():
+    rng = np.random.default_rng(1)
+    draw = lambda low: np.unique(rng.integers(low, low + 600, 100))
+    toxic, others = [draw(0) for _ in range(60)], [draw(300) for _ in range(90)]
+    tracemalloc.start()
+    weights, _ = toxicity.train(toxic, others, 0.2, 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # the weights take 8 MB; tables of all features in double precision, side by side, took over 60
+    assert peak < 40e6
+    assert weights[:300].mean() > weights[600:900].mean() and not weights[900:].any()
+
+
 @pytest.mark.parametrize("shift", [-3.0, 3.0])
 def test_risk_and_slope_equal_a_brute_force_version(shift):
     rng = np.random.default_rng(3)
