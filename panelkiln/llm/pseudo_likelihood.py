@@ -71,6 +71,19 @@ def _packed(keys: np.ndarray, parts: int, counted: bool = True) -> dict:
     return out | ({"n": pa.array([_planes(n[cut[p] : cut[p + 1]]) for p in some], pa.binary())} if counted else {})
 
 
+def _ranked(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of keys (a part and 32 bits), and in it each one's number among the distinct ones. Where key and place fit
+    one number of 64 bits that is sorted, much faster than by argsort."""
+    bits = np.uint64(max(1, len(keys) - 1).bit_length())
+    if 32 + (parts - 1).bit_length() + int(bits) <= 64:
+        both = np.sort((keys << bits) | np.arange(len(keys), dtype=np.uint64))
+        by, keys = (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), both >> bits
+    else:
+        by = np.argsort(keys)
+        keys = keys[by]
+    return by, np.cumsum(np.append(False, keys[1:] != keys[:-1]))
+
+
 def _summed(t: pa.Table) -> pa.Table:
     """Adds up counts of one part's words."""
     keys, total = _sums(K.ints(t.column("keys"), np.uint64), K.ints(t.column("n"), np.int32))
@@ -182,9 +195,10 @@ def _hidden(p: dict, tables: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def _softmax(s: np.ndarray) -> np.ndarray:
-    s -= s.max(1, keepdims=True)
+    # down columns and by a product: rows are too short to be reduced one by one
+    s -= s.T.copy().max(0)[:, None]
     np.exp(s, out=s)
-    s /= s.sum(1, keepdims=True)
+    s /= (s @ np.ones(s.shape[1], s.dtype))[:, None]
     return s
 
 
@@ -365,9 +379,7 @@ def score(docs: DataFrame, model: dict, own: bool = True, strength: float = 4.0)
         if len(at):
             # the same keys as asked for, in the order of the answers' parts
             keys = np.concatenate(_keys(words))
-            keys = ((keys % np.uint64(parts)) << np.uint64(32)) | (keys >> np.uint64(32))
-            by = np.argsort(keys)
-            number = np.cumsum(np.append(False, keys[by[1:]] != keys[by[:-1]]))
+            by, number = _ranked(((keys % np.uint64(parts)) << np.uint64(32)) | (keys >> np.uint64(32)), parts)
             told = np.concatenate(_unpacked(answers.column("n").take(pa.array(np.argsort(answers.column("part").to_numpy()))), False))
             n = np.empty(len(keys))
             n[by] = told[number]

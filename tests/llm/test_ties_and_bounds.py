@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from panelkiln.llm import blocks, ngram_join, token_counts, toxicity
+from panelkiln.llm import blocks, ngram_join, pseudo_likelihood, token_counts, toxicity
 
 
 def test_training_rows_are_bounded_in_rows_and_bytes(spark, monkeypatch):
@@ -149,3 +149,21 @@ def test_buckets_grow_with_replicated_bytes(spark):
     assert few.count() == 1000 and few.agg(F.max("bucket")).first()[0] < 3
     many = blocks.block_pairs(rows, ["g"], F.col("id"), 50, 3, F.lit(10), each=400)
     assert many.count() == 4000 and many.agg(F.max("bucket")).first()[0] >= 50  # 40,000 replicated bytes: 100 buckets
+
+
+@pytest.mark.parametrize("parts", [1, 51, 1875, 1 << 24])
+def test_keys_are_ranked_as_by_a_plain_sort(parts):
+    rng = np.random.default_rng(parts)
+    for n in (1, 2, 3, 5000):
+        keys = (rng.integers(0, parts, n).astype(np.uint64) << np.uint64(32)) | rng.integers(2**32 - 50, 2**32, n).astype(np.uint64)
+        by, number = pseudo_likelihood._ranked(keys, parts)
+        got = np.empty(n, np.int64)
+        got[by] = number
+        assert sorted(by) == list(range(n)) and (got == np.unique(keys, return_inverse=True)[1]).all()
+
+
+def test_softmax_equals_a_plain_one():
+    s = np.random.default_rng(2).normal(0, 20, (300, 13)).astype(np.float32)
+    s[0, 1:] = -30.0
+    want = np.exp(s.astype(float) - s.max(1, keepdims=True))
+    assert np.abs(pseudo_likelihood._softmax(s.copy()) - want / want.sum(1, keepdims=True)).max() < 1e-6
