@@ -4,12 +4,13 @@ import collections
 import hashlib
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from panelkiln.llm import blocks, decontaminate, kernels, line_dedup, ngram_join, packing, pseudo_likelihood, sharding, substring_dedup, token_counts, tokens, toxicity, vector_dedup
+from panelkiln.llm import blocks, common, decontaminate, kernels, line_dedup, ngram_join, packing, pseudo_likelihood, sharding, substring_dedup, token_counts, tokens, toxicity, vector_dedup
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 PASSAGE = " ".join(f"word{i}" for i in range(30))
@@ -189,6 +190,23 @@ def test_vectors(spark):
     assert vector_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_are_not_replicated(spark, tmp_path):
+    """One label, 64 dimensions, where pivots prune nothing: all pairs are compared, and no shuffle or table holds a vector twice."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64)).astype(np.float32)
+    x[2000:] = x[:1000] + 0.05 * rng.normal(size=(1000, 64)).astype(np.float32)
+    spark.createDataFrame([(i, e.tolist(), 1) for i, e in enumerate(x)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/v")
+    at = Path(common.shared_folder(spark))
+    size = lambda: sum(p.stat().st_size for p in at.rglob("*.parquet"))
+    had = size()
+    got = vector_dedup.near_vectors(spark.read.parquet(f"{tmp_path}/v"), cell_rows=100, block=256).collect()
+    used = size() - had
+    u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
+    links = u @ u.T >= 0.98
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate((links.sum(1) - 1).tolist())) and links.sum() > 4500
+    assert x.nbytes < used < 2 * x.nbytes
+
+
 def test_token_counts(spark, docs, empty, tmp_path):
     counts = {r.doc_id: r for r in token_counts.count_tokens(docs.filter("doc_id < 15")).collect()}
     from tokenizers import Tokenizer
