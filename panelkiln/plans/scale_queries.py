@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import custom
-from ..operators import windows
+from ..operators import slices, windows
 from ..spec import PanelSpec
 from .define import KEYS, NULLS, ORDERS, Tables, W, frame, query, rounded
 
@@ -52,7 +52,7 @@ round(l_quantity / lag(l_quantity, 10) over {HW} - 1, 4) as l_quantity_mom_10, c
 )
 def hot_indicators_lineitem(t: Tables):
     df = _hot(t, "l_quantity")
-    out = windows.momentum(windows.bollinger(windows.rsi(df, HOT, "l_quantity"), HOT, "l_quantity"), HOT, "l_quantity", 10)
+    out = slices.together(df, HOT, (windows.rsi, "l_quantity"), (windows.bollinger, "l_quantity"), (windows.momentum, "l_quantity", 10))
     return rounded(out, 4, *out.columns[len(df.columns) :])
 
 

@@ -3,6 +3,8 @@
 import datetime
 import math
 import re
+from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelkiln.functions import custom
 from panelkiln.operators import gram, history, modeling, order, run_metrics, scan, selection, slices, split, stats, windows
+from panelkiln.shared import folder
 from panelkiln.sources.batches import Batches
 from panelkiln.sources.column_groups import ROW, ColumnGroups, batched
 from panelkiln.spec import PanelSpec
@@ -106,6 +109,25 @@ def test_a_hot_group_spreads(spark, panel):
     assert windows.rolling(panel.limit(0), hot(25), ["x"], [5]).collect() == []
 
 
+def test_indicators_share_one_slicing(spark, panel):
+    """Bounded frames write no table of rows and shuffle the rows once; dates of many rows are cut by the tiebreak."""
+    at = Path(folder(spark, "x")).parent
+    numbered = lambda: len(list(at.glob("numbered-*")))
+    had = numbered()
+    day = panel.select("symbol", F.when(F.col("k") % 50 > 0, F.lit(datetime.date(2024, 1, 1))).alias("date"), F.when(F.col("k") % 40 > 0, F.col("k")).alias("t"), "k", "x", "slice")
+    for df, plain in ((panel, SPEC), (day, PanelSpec("symbol", "date", ("t", "k")))):
+        steps = (windows.rsi, "x", 5), (windows.bollinger, "x", 8), (windows.leads, "x"), (windows.momentum, "x", 4)
+        want = by_key(slices.together(df, plain, *steps))
+        for size in (2, 30):
+            got = slices.together(df, replace(plain, slice_rows=size), *steps)
+            assert by_key(got) == want
+            assert got._jdf.queryExecution().optimizedPlan().toString().count("Window [") >= 3 and len(re.findall(r"Exchange hashpartitioning\(", got._jdf.queryExecution().sparkPlan().toString() + got._jdf.queryExecution().executedPlan().toString())) <= 2
+    both, cut, own = slices.dealt(day, replace(plain, slice_rows=30), 5)
+    rows = both.filter("symbol = 'hot'").groupBy(cut.slice).agg(F.count("*").alias("n"), F.sum(F.col(own).cast("int")).alias("m")).collect()
+    assert len(rows) > 8 and sum(r.m for r in rows) == 400 and max(r.n for r in rows) < 60
+    assert numbered() == had
+
+
 # correlations
 
 
