@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,18 +67,79 @@ def _cut(model, kind: str, rounds: int):
     return model._copyValues(type(model)(of(java.uid(), kept, own, model.numFeatures, *more)))
 
 
-def boost_with_patience(train: DataFrame, held: DataFrame, kind: str, preset: str = "fast", label: str = "target", patience: int = 50, **params):
+#: Rows below which training takes them one by one; columns beyond which rows hardly repeat; bins of a column, as Spark's
+#: trees have; condensed rows aimed at, and the least parts of a cell.
+FEW_ROWS, MOST_COLUMNS, BINS, CONDENSED, PARTS = 200_000, 16, 32, 100_000, 4
+
+
+def condensed(rows: DataFrame, kind: str, label: str, held: DataFrame | None = None) -> list[DataFrame] | None:
+    """rows, and held in the bins of rows, as (_features, label, _weight, _spread): those of equal binned features as one row with
+    their mean label, their number and the variance of their labels; None where that saves little.
+
+    A tree with BINS bins sees a column only by its bins, and a cell's sum and number of labels only, so its splits are those
+    of the rows. A column of more values takes the nearest of its quantiles; Spark puts thresholds half way between
+    neighbouring values, which is where a quantile's bin ends, so a fitted tree sends a row where it sent its bin. Classes
+    are not averaged. Every cell is dealt at random into PARTS parts or more, which subsampling and bootstrap then draw.
+    """
+    v = vector_to_array("_features")
+    first = rows.select(F.size(v).alias("n")).first()
+    if first is None or first.n > MOST_COLUMNS:
+        return None
+    names = [f"_x{i}" for i in range(first.n)]
+    apart = lambda d: d.select(F.col(label).cast("double").alias(label), *(v[i].alias(x) for i, x in enumerate(names)))
+    wide = apart(rows)
+    seen = wide.agg(F.count("*").alias("n"), *(F.approx_count_distinct(x, 0.02).alias(x) for x in names)).first()
+    if seen.n < FEW_ROWS:
+        return None
+    many = [x for x in names if seen[x] > 0.9 * BINS]
+    found = wide.approxQuantile(many, [(i + 0.5) / BINS for i in range(BINS)], 0.002) if many else []
+    values = {x: sorted(set(f)) for x, f in zip(many, found, strict=True) if len(set(f)) > 1}
+
+    def binned(d: DataFrame) -> DataFrame:
+        for x, near in values.items():
+            # a threshold itself goes left
+            ends = [math.nextafter((a + b) / 2, math.inf) for a, b in zip(near[:-1], near[1:], strict=True)]
+            d = Bucketizer(splits=[-math.inf, *ends, math.inf], inputCol=x, outputCol="_bin", handleInvalid="keep").transform(d)
+            d = d.withColumn(x, F.element_at(F.array(*map(F.lit, [*near, math.nan])), F.col("_bin").cast("int") + 1)).drop("_bin")
+        return d
+
+    keys = [*names, label] if kind == "classifier" else names
+    cells = binned(wide).agg(F.approx_count_distinct(F.struct(*keys))).first()[0]
+    parts = min(max(PARTS, CONDENSED // cells), seen.n // (2 * cells))
+    if parts < PARTS:
+        return None
+
+    def made(d: DataFrame, parts: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).alias("_part")
+        one = [F.lit(0.0).alias("_spread")] if kind == "classifier" else [F.avg(label).alias(label), F.var_pop(label).alias("_spread")]
+        every = binned(d).select("*", part).groupBy(*keys, "_part").agg(F.count("*").cast("double").alias("_weight"), *one)
+        return settle(every.select(array_to_vector(F.array(*names)).alias("_features"), label, "_weight", "_spread"), "condensed")
+
+    return [made(wide, parts), *([] if held is None else [made(apart(held), 1)])]
+
+
+def fitted(make, rows: DataFrame, weighted: bool):
+    return (make.setWeightCol("_weight") if weighted else make).fit(rows)
+
+
+def boost_with_patience(train: DataFrame, held: DataFrame, kind: str, preset: str = "fast", label: str = "target", patience: int = 50, store: bool = False, **params):
     """(model, errors): a boosted model cut at the round with the least error on held, and the error after every round.
 
     Training ends where `patience` rounds have not improved on the best one. It runs in stages of doubling length: the
     trees of a stage begin with those of the stage before (one seed, one order of rows), so the rounds kept are those
     that one run with a look at held after every tree would keep, at no more than twice its trees.
     """
-    most = (PRESETS[preset] | params)["maxIter"]
+    make = estimator(kind, preset, label, None, **params)
+    most = make.getMaxIter()
     rounds = min(most, 2 * patience)
+    small = condensed(train, kind, label, held) if params.get("lossType") != "absolute" and params.get("maxBins", BINS) == BINS else None
+    if small or store:
+        train, held = small or [settle(d.select("_features", label), "training") for d in (train, held)]
+    spread = (held.agg(F.try_divide(F.sum(F.col("_weight") * F.col("_spread")), F.sum("_weight"))).first()[0] or 0.0) if small else 0.0
     while True:
-        model = estimator(kind, preset, label, None, **params).setMaxIter(rounds).fit(train)
+        model = fitted(make.setMaxIter(rounds), train, small is not None)
         errors = model.evaluateEachIteration(held, LOSSES[kind][0]) if kind == "gbt" else model.evaluateEachIteration(held)
+        errors = [e + spread for e in errors]
         kept, ended = best_round(errors, patience)
         if ended or rounds == most:
             return _cut(model, kind, kept), errors
@@ -93,11 +156,13 @@ def fit(df: DataFrame, features: list[str], kind: str = "gbt", preset: str = "fa
     stages = [VectorAssembler(inputCols=features, outputCol=made, handleInvalid="keep")]
     stages += [StandardScaler(inputCol="_raw", outputCol="_features", withMean=True)] if scale else []
     if validation is None or kind == "forest":
-        return Pipeline(stages=[*stages, estimator(kind, preset, label, None, **params)]).fit(df)
+        make, ready = estimator(kind, preset, label, None, **params), Pipeline(stages=stages).fit(df)
+        rows = ready.transform(df)
+        small = condensed(rows, kind, label) if params.get("lossType") != "absolute" and params.get("maxBins", BINS) == BINS else None
+        return PipelineModel([*ready.stages, fitted(make, small[0] if small else rows, small is not None)])
     ready = Pipeline(stages=stages).fit(df.filter(~F.col(validation)))
-    # every round reads the rows again
-    rows = settle(ready.transform(df).select("_features", label, F.col(validation).alias("_held")), "training")
-    model, _ = boost_with_patience(rows.filter("not _held"), rows.filter("_held"), kind, preset, label, patience, **params)
+    rows = ready.transform(df).select("_features", label, F.col(validation).alias("_held"))
+    model, _ = boost_with_patience(rows.filter("not _held"), rows.filter("_held"), kind, preset, label, patience, store=True, **params)
     return PipelineModel([*ready.stages, model])
 
 

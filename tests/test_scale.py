@@ -9,6 +9,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from panelkiln.functions import custom
@@ -195,6 +196,36 @@ def test_patience(spark):
     assert short.evaluateEachIteration(ready.filter("valid"), "squared") == pytest.approx(errors[:4])
 
 
+def test_training_rows_are_condensed(spark, monkeypatch):
+    """Trees grow on few weighted rows that stand for all; errors and scores are those of the rows themselves."""
+    monkeypatch.setattr(modeling, "FEW_ROWS", 1000)
+    monkeypatch.setattr(modeling, "CONDENSED", 600)
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 3, 6000), rng.normal(size=6000)
+    y = np.where(a == 1, 3.0, 0.0) + np.sin(2 * b) + rng.normal(0, 0.3, 6000)
+    df = spark.createDataFrame([(float(p), float(q), float(t), float(t > 1), i % 4 == 0) for i, (p, q, t) in enumerate(zip(a, b, y, strict=True))], "a double, b double, target double, y double, valid boolean").repartition(3)
+    trained = []
+    plain = modeling.fitted
+    monkeypatch.setattr(modeling, "fitted", lambda make, rows, weighted: trained.append((rows, weighted)) or plain(make, rows, weighted))
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="_features").transform(df)
+    for kind, label in (("gbt", "target"), ("classifier", "y")):
+        trained.clear()
+        model, errors = modeling.boost_with_patience(ready.filter("not valid"), ready.filter("valid"), kind, "fast", label, 2, maxDepth=3, stepSize=0.4)
+        rows, weighted = trained[0]
+        assert weighted and rows.count() <= 4500 / 2
+        n, total = rows.agg(F.sum("_weight"), F.sum(F.col("_weight") * F.col(label))).first()
+        assert n == 4500 and total == pytest.approx(df.filter("not valid").agg(F.sum(label)).first()[0])
+        held = ready.filter("valid").select(F.col("_features").alias("features"), F.col(label).alias("label"))
+        own = model.evaluateEachIteration(held, "squared") if kind == "gbt" else model.evaluateEachIteration(held)
+        assert errors[: len(own)] == pytest.approx(own, rel=1e-9) and len(own) > 1
+    for columns in (["a"], ["a", "b"]):
+        trained.clear()
+        scored = modeling.fit(df, columns, "forest", "fast", maxDepth=5).transform(df).select("a", "target", "prediction").toPandas()
+        assert trained[0][1] and trained[0][0].count() <= 3000
+        seen = scored.groupby("a").mean()
+        np.testing.assert_allclose(seen.prediction, seen.target, atol=0.15 if columns == ["a"] else 0.4)
+
+
 # batches
 
 
