@@ -427,9 +427,8 @@ def fit_boosted_trees(t: Tables):
 @query("select count(*) as n_held, true as under_half, true as more_than_one_tree, true as cut_at_the_best from lineitem where l_orderkey % 5 = 0")
 def boosting_rounds(t: Tables):
     """Rows held out; whether their error is under half of the target's deviation; whether the kept trees are those up to the least error."""
-    ready = VectorAssembler(inputCols=XP, outputCol="_features").transform(_planted(t)).select("_features", "target", "valid")
-    rows = shared.settle(ready, "training")
-    model, errors = modeling.boost_with_patience(rows.filter("not valid"), rows.filter("valid"), "gbt", "fast", patience=PATIENCE, maxDepth=6, stepSize=0.4)
+    rows = VectorAssembler(inputCols=XP, outputCol="_features").transform(_planted(t)).select("_features", "target", "valid")
+    model, errors = modeling.boost_with_patience(rows.filter("not valid"), rows.filter("valid"), "gbt", "fast", patience=PATIENCE, store=True, maxDepth=6, stepSize=0.4)
     kept, _ = modeling.best_round(errors, PATIENCE)
     scored = model.transform(rows.filter("valid"))
     of = ensemble.regression_metrics(scored, "target", "prediction").select("rmse")
